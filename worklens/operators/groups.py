@@ -1,0 +1,81 @@
+"""Groups too large for one task.
+
+A window puts each of its groups into one task. Where one key may hold a large
+part of all rows, such keys are found first and take another, exact route; all
+other keys keep the plain window and its single exchange.
+"""
+
+from __future__ import annotations
+
+import tempfile
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A group of up to this many rows is left to one task.
+HOT_ROWS = 1_000_000
+# At most this many keys are treated apart, the largest first; the others stay
+# on the plain route, which is exact as well. Bounds what is broadcast.
+MAX_HOT_KEYS = 10_000
+
+
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows as a local relation; None if there are none.
+
+    Runs one job: a count per key, combined before its shuffle, of which at most
+    ``MAX_HOT_KEYS`` rows reach the driver.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    largest = (
+        counted.where(F.col("_rows") > F.lit(hot_rows))
+        .orderBy(F.col("_rows").desc())
+        .limit(MAX_HOT_KEYS)
+        .select(*keys)
+        .toArrow()
+    )
+    return df.sparkSession.createDataFrame(largest) if largest.num_rows else None
+
+
+def join_on_keys(
+    df: DataFrame, small: DataFrame, keys: Sequence[str], how: str
+) -> DataFrame:
+    """Join a bounded relation by null-safe equality of ``keys``, broadcast to ``df``."""
+    named = small.withColumnsRenamed({k: f"_small_{k}" for k in keys})
+    match = [F.col(k).eqNullSafe(F.col(f"_small_{k}")) for k in keys]
+    joined = df.join(F.broadcast(named), match, how)
+    return joined.drop(*[f"_small_{k}" for k in keys])
+
+
+def by_group_size(
+    df: DataFrame,
+    keys: Sequence[str],
+    hot: DataFrame | None,
+    plain: Callable[[DataFrame], DataFrame],
+    spread: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``plain`` on the ordinary groups and ``spread`` on those listed in ``hot``."""
+    if hot is None:
+        return plain(df)
+    ordinary = join_on_keys(df, hot, keys, "left_anti")
+    large = join_on_keys(df, hot, keys, "left_semi")
+    return plain(ordinary).unionByName(spread(large))
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder and go on from there.
+
+    The folder is the one the session names in ``spark.checkpoint.dir``. A local
+    session without one gets a temporary folder; a cluster must name a shared one.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+            folder = tempfile.mkdtemp(prefix="worklens-checkpoint-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()

@@ -1,0 +1,111 @@
+"""Numbering of rows within a group by time.
+
+All functions need ``tiebreak`` columns that make the order within a group
+unique; otherwise numbers could differ between runs. NULL times come last.
+
+``spread=True`` is the route for groups too large for one task: the rows are
+range-partitioned by the whole sort key, so a group may span any number of
+partitions, and the rows of earlier partitions are added to the local position.
+Use it only on the groups found by ``hot_keys``; what it broadcasts is bounded
+by their number plus the number of partitions.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from .groups import checkpointed, join_on_keys
+
+
+def _ordering(order: str, tiebreak: Sequence[str]) -> list[Column]:
+    return [F.col(order).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]]
+
+
+def _number_by_range(
+    df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[str], name: str
+) -> DataFrame:
+    sort_key = [*[F.col(k) for k in keys], *_ordering(order, tiebreak)]
+    # The id is (partition << 33) + position in the partition. Written out, it is
+    # the same for both readers below and survives the loss of an executor.
+    placed = checkpointed(
+        df.repartitionByRange(*sort_key)
+        .sortWithinPartitions(*sort_key)
+        .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright("_at", 33))
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    runs = (
+        placed.groupBy(*keys, "_part")
+        .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .drop("_rows")
+    )
+    return (
+        join_on_keys(placed, runs, [*keys, "_part"], "inner")
+        .withColumn(name, F.col("_at") - F.col("_first") + F.col("_before") + F.lit(1))
+        .drop("_at", "_part", "_first", "_before")
+    )
+
+
+def sequence(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    tiebreak: Sequence[str],
+    name: str = "stage_flow",
+    spread: bool = False,
+) -> DataFrame:
+    """Position 1..n of each row within ``keys``, by ``order`` ascending."""
+    if spread:
+        return _number_by_range(df, keys, order, tiebreak, name)
+    window = Window.partitionBy(*keys).orderBy(*_ordering(order, tiebreak))
+    return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+
+
+def iteration(
+    df: DataFrame,
+    keys: Sequence[str],
+    node: str,
+    order: str,
+    tiebreak: Sequence[str],
+    name: str = "node_iteration",
+    spread: bool = False,
+) -> DataFrame:
+    """How often the value in ``node`` has occurred within ``keys`` up to this row."""
+    return sequence(df, [*keys, node], order, tiebreak, name, spread)
+
+
+def latest_flag(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    tiebreak: Sequence[str],
+    name: str = "is_latest",
+    position: str | None = None,
+    spread: bool = False,
+) -> DataFrame:
+    """``'Yes'`` on the newest row of each group, ``'Other'`` on the rest.
+
+    The newest row is the last one with a time, or the last one of a group
+    without any. ``position`` names a column already made by ``sequence`` over
+    the same keys and order; the flag then needs no second sort.
+    """
+    made = position or "_position"
+    if position is None:
+        df = sequence(df, keys, order, tiebreak, made, spread)
+    timed, rows = F.count(F.col(order)), F.count(F.lit(1))
+    if spread:
+        totals = df.groupBy(*keys).agg(timed.alias("_timed"), rows.alias("_rows"))
+        df = join_on_keys(df, totals, keys, "inner")
+    else:
+        window = Window.partitionBy(*keys)
+        df = df.withColumns({"_timed": timed.over(window), "_rows": rows.over(window)})
+    last = F.when(F.col("_timed") > 0, F.col("_timed")).otherwise(F.col("_rows"))
+    flag = F.when(F.col(made) == last, F.lit("Yes")).otherwise(F.lit("Other"))
+    helpers = ["_timed", "_rows", *([] if position else [made])]
+    return df.withColumn(name, flag).drop(*helpers)

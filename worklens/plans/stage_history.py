@@ -1,0 +1,122 @@
+"""Stage history of each task."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import epoch_to_local, json_scalar, ms_to_seconds
+from ..operators import (
+    attach_latest_attribute,
+    by_group_size,
+    hot_keys,
+    iteration,
+    latest_by,
+    latest_flag,
+    remap_values,
+    scope,
+    sequence,
+)
+from ..operators.groups import HOT_ROWS
+from ..sources import from_year
+from .defaults import MIN_YEAR, STAGE_LABELS
+
+VERSION_KEY = ["labeltaskid", "document_id"]
+TASK_KEY = ["project_id", "labeltaskid"]
+
+COLUMNS = [
+    "organization_id",
+    "project_id",
+    "projectname",
+    "batch_name",
+    "labeltaskid",
+    "document_id",
+    "stage",
+    "stagename",
+    "stage_type",
+    "rework",
+    "iscompleted",
+    "isskipped",
+    "updatedby",
+    "updatedat_date",
+    "duration_sec",
+    "idleduration_sec",
+    "blurduration_sec",
+    "number_of_pages",
+]
+
+
+def number_stages(
+    stages: DataFrame,
+    keys: Sequence[str],
+    node: str,
+    order: str,
+    tiebreak: Sequence[str],
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Add stage order, iteration number and latest flag within ``keys``.
+
+    The groups listed in ``hot`` are numbered over many tasks, all others by
+    windows that share one exchange.
+    """
+
+    def number(rows: DataFrame, spread: bool) -> DataFrame:
+        rows = sequence(rows, keys, order, tiebreak, spread=spread)
+        rows = latest_flag(rows, keys, order, tiebreak, position="stage_flow", spread=spread)
+        return iteration(rows, keys, node, order, tiebreak, spread=spread)
+
+    return by_group_size(
+        stages,
+        keys,
+        hot,
+        plain=lambda rows: number(rows, spread=False),
+        spread=lambda rows: number(rows, spread=True),
+    )
+
+
+def stage_history(
+    logs: DataFrame,
+    pairs: Sequence[tuple],
+    min_year: str | None = MIN_YEAR,
+    labels: Mapping[str, Sequence[str]] = STAGE_LABELS,
+    offset_s: int | None = None,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Newest version of each log with stage order, iteration number and latest flag.
+
+    Organizations and projects are tested independently of each other. The
+    project name is the newest of its project among the newest versions.
+
+    ``hot_rows`` is the size from which a task is numbered over many Spark tasks;
+    finding such tasks takes one count over two columns. None skips that.
+    """
+    scoped = scope(from_year(logs, min_year), pairs, mode="independent")
+    hot = None if hot_rows is None else hot_keys(scoped, TASK_KEY, hot_rows)
+    needed = scoped.select(
+        "organization_id", "project_id", "projectname", "batch_details", "labeltaskid",
+        "document_id", "stage", "stagename", "stage_type", "rework", "iscompleted",
+        "isskipped", "updatedby", "updatedat", "duration", "idleduration",
+        "blurduration", "number_of_pages",
+    )
+    newest = latest_by(needed, VERSION_KEY, "updatedat")
+    # Only listed projects are left, so their list bounds the name table.
+    projects = len({project for _, project in pairs})
+    named = attach_latest_attribute(
+        newest, "project_id", "projectname", "updatedat", max_keys=projects
+    )
+    stages = named.withColumns(
+        {
+            "batch_name": json_scalar(F.col("batch_details"), "$[0].batch_name"),
+            "stagename": remap_values(F.col("stagename"), labels),
+            "updatedat_date": epoch_to_local(F.col("updatedat"), offset=offset_s),
+            "duration_sec": ms_to_seconds(F.col("duration")),
+            "idleduration_sec": ms_to_seconds(F.col("idleduration")),
+            "blurduration_sec": ms_to_seconds(F.col("blurduration")),
+        }
+    ).select(*COLUMNS)
+    numbered = number_stages(
+        stages, TASK_KEY, "stagename", "updatedat_date", ["document_id"], hot
+    )
+    return numbered.select(*COLUMNS, "stage_flow", "node_iteration", "is_latest")
