@@ -51,9 +51,8 @@ def text(col: str) -> Column:
 
 
 def epoch_us(col: str) -> Column:
-    """Microseconds of a zone-less timestamp; exact, whatever the session zone is."""
-    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", start, F.col(col))
+    """Microseconds of a zone-less timestamp; the session zone must be UTC."""
+    return F.unix_micros(F.col(col).cast("timestamp"))
 
 
 def epoch_s(col: str) -> Column:

@@ -39,16 +39,14 @@ def distinct_counts(
     but its group stays, with 0. Both steps combine before their shuffle, so
     neither a large group nor an often repeated entity ends up in one task.
     """
-    flags = {f"_flag_{name}": F.coalesce(c, F.lit(False)) for name, c in conditions.items()}
-    per_entity = df.groupBy(*group, entity).agg(
-        *[F.bool_or(c).alias(name) for name, c in flags.items()],
-        F.lit(True).alias("_seen"),
-    )
+    met = [F.bool_or(c).alias(f"_met_{name}") for name, c in conditions.items()]
+    entities = df.groupBy(*group, entity)
+    per_entity = entities.agg(*met) if met else entities.agg(F.lit(True))
     known = F.col(entity).isNotNull()
     totals = [F.count_if(known).alias(total)] if total else []
     return per_entity.groupBy(*group).agg(
         *totals,
-        *[F.count_if(known & F.col(f"_flag_{name}")).alias(name) for name in conditions],
+        *[F.count_if(known & F.col(f"_met_{name}")).alias(name) for name in conditions],
     )
 
 

@@ -8,16 +8,20 @@ other keys keep the plain window and its single exchange.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A group of up to this many rows is left to one task.
-HOT_ROWS = 1_000_000
+# A group of up to this many rows is left to one task: sorting it there is
+# cheaper than writing it out and numbering it in several.
+HOT_ROWS = 5_000_000
 # At most this many keys are treated apart, the largest first; the others stay
 # on the plain route, which is exact as well. Bounds what is broadcast.
 MAX_HOT_KEYS = 10_000
+# Column that numbers the ranges of a placed frame.
+PART = "_part"
 
 
 def hot_keys(
@@ -40,13 +44,18 @@ def hot_keys(
 
 
 def join_on_keys(
-    df: DataFrame, small: DataFrame, keys: Sequence[str], how: str
+    df: DataFrame, other: DataFrame, keys: Sequence[str], how: str, bounded: bool = True
 ) -> DataFrame:
-    """Join a bounded relation by null-safe equality of ``keys``, broadcast to ``df``."""
-    named = small.withColumnsRenamed({k: f"_small_{k}" for k in keys})
-    match = [F.col(k).eqNullSafe(F.col(f"_small_{k}")) for k in keys]
-    joined = df.join(F.broadcast(named), match, how)
-    return joined.drop(*[f"_small_{k}" for k in keys])
+    """Join ``other`` by null-safe equality of ``keys``.
+
+    A ``bounded`` relation, with no more rows than hot keys and ranges, is
+    broadcast; otherwise Spark picks the join by the sizes it finds.
+    """
+    renamed = {k: f"_other_{k}" for k in keys}
+    other = other.withColumnsRenamed(renamed)
+    match = [F.col(k).eqNullSafe(F.col(o)) for k, o in renamed.items()]
+    joined = df.join(F.broadcast(other) if bounded else other, match, how)
+    return joined.drop(*renamed.values())
 
 
 def by_group_size(
@@ -64,18 +73,43 @@ def by_group_size(
     return plain(ordinary).unionByName(spread(large))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors can reach, for tables that cut a lineage.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. A local
-    session without one gets a temporary folder; a cluster must name a shared one.
+    The one the session names in ``spark.checkpoint.dir`` or set as its
+    checkpoint folder. A local session without one gets a temporary folder; a
+    cluster must name a shared one.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="worklens-checkpoint-")
+    context = spark.sparkContext
+    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="worklens-")
         context.setCheckpointDir(folder)
-    return df.checkpoint()
+        folder = context.getCheckpointDir()
+    return folder
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table to the shared folder and go on from its files.
+
+    What follows reads the same rows however often it runs, also after the loss
+    of an executor, and only the columns it needs.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/worklens-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def placed_by_range(
+    df: DataFrame, sort_key: Sequence[Column], part: str = PART
+) -> DataFrame:
+    """Cut ``df`` into consecutive ranges of ``sort_key`` of about equal size.
+
+    ``part`` numbers the ranges in order. With a unique sort key a range holds
+    no more than its share of the rows, whatever the sizes of the groups.
+    """
+    ranged = df.repartitionByRange(*sort_key)
+    return written(ranged.withColumn(part, F.spark_partition_id()))

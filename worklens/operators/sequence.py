@@ -3,11 +3,10 @@
 All functions need ``tiebreak`` columns that make the order within a group
 unique; otherwise numbers could differ between runs. NULL times come last.
 
-``spread=True`` is the route for groups too large for one task: the rows are
-range-partitioned by the whole sort key, so a group may span any number of
-partitions, and the rows of earlier partitions are added to the local position.
-Use it only on the groups found by ``hot_keys``; what it broadcasts is bounded
-by their number plus the number of partitions.
+``ranged`` is for groups too large for one task, those ``hot_keys`` finds: the
+result of ``in_time_ranges``, which ``df`` must be or come from. Rows are then
+numbered within their range, and the rows of the same group in earlier ranges
+are added, so a group may span any number of tasks.
 """
 
 from __future__ import annotations
@@ -17,39 +16,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .groups import checkpointed, join_on_keys
+from .groups import PART, join_on_keys, placed_by_range
 
 
-def _ordering(order: str, tiebreak: Sequence[str]) -> list[Column]:
+def _by_time(order: str, tiebreak: Sequence[str]) -> list[Column]:
     return [F.col(order).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]]
 
 
-def _number_by_range(
-    df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[str], name: str
+def in_time_ranges(
+    df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[str]
 ) -> DataFrame:
-    sort_key = [*[F.col(k) for k in keys], *_ordering(order, tiebreak)]
-    # The id is (partition << 33) + position in the partition. Written out, it is
-    # the same for both readers below and survives the loss of an executor.
-    placed = checkpointed(
-        df.repartitionByRange(*sort_key)
-        .sortWithinPartitions(*sort_key)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_at", 33))
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    runs = (
-        placed.groupBy(*keys, "_part")
-        .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .drop("_rows")
-    )
-    return (
-        join_on_keys(placed, runs, [*keys, "_part"], "inner")
-        .withColumn(name, F.col("_at") - F.col("_first") + F.col("_before") + F.lit(1))
-        .drop("_at", "_part", "_first", "_before")
+    """Number consecutive ranges of ``keys`` and time in the column ``PART``."""
+    return placed_by_range(df, [*[F.col(k) for k in keys], *_by_time(order, tiebreak)])
+
+
+def _number(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    tiebreak: Sequence[str],
+    name: str,
+    ranged: DataFrame | None,
+    bounded: bool,
+) -> DataFrame:
+    group = list(keys) if ranged is None else [*keys, PART]
+    window = Window.partitionBy(*group).orderBy(*_by_time(order, tiebreak))
+    numbered = df.withColumn(name, F.row_number().over(window).cast("bigint"))
+    if ranged is None:
+        return numbered
+    up_to_here = Window.partitionBy(*keys).orderBy(PART)
+    earlier = (
+        ranged.groupBy(*group)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(*group, (F.sum("_rows").over(up_to_here) - F.col("_rows")).alias("_earlier"))
     )
+    total = join_on_keys(numbered, earlier, group, "inner", bounded)
+    return total.withColumn(name, F.col(name) + F.col("_earlier")).drop("_earlier")
 
 
 def sequence(
@@ -58,13 +60,12 @@ def sequence(
     order: str,
     tiebreak: Sequence[str],
     name: str = "stage_flow",
-    spread: bool = False,
+    ranged: DataFrame | None = None,
 ) -> DataFrame:
     """Position 1..n of each row within ``keys``, by ``order`` ascending."""
-    if spread:
-        return _number_by_range(df, keys, order, tiebreak, name)
-    window = Window.partitionBy(*keys).orderBy(*_ordering(order, tiebreak))
-    return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+    # A range begins at most one group it shares with the range before, so there
+    # are no more (group, range) pairs than groups and ranges together.
+    return _number(df, keys, order, tiebreak, name, ranged, bounded=True)
 
 
 def iteration(
@@ -74,10 +75,10 @@ def iteration(
     order: str,
     tiebreak: Sequence[str],
     name: str = "node_iteration",
-    spread: bool = False,
+    ranged: DataFrame | None = None,
 ) -> DataFrame:
     """How often the value in ``node`` has occurred within ``keys`` up to this row."""
-    return sequence(df, [*keys, node], order, tiebreak, name, spread)
+    return _number(df, [*keys, node], order, tiebreak, name, ranged, bounded=False)
 
 
 def latest_flag(
@@ -87,7 +88,7 @@ def latest_flag(
     tiebreak: Sequence[str],
     name: str = "is_latest",
     position: str | None = None,
-    spread: bool = False,
+    ranged: DataFrame | None = None,
 ) -> DataFrame:
     """``'Yes'`` on the newest row of each group, ``'Other'`` on the rest.
 
@@ -97,10 +98,10 @@ def latest_flag(
     """
     made = position or "_position"
     if position is None:
-        df = sequence(df, keys, order, tiebreak, made, spread)
+        df = sequence(df, keys, order, tiebreak, made, ranged)
     timed, rows = F.count(F.col(order)), F.count(F.lit(1))
-    if spread:
-        totals = df.groupBy(*keys).agg(timed.alias("_timed"), rows.alias("_rows"))
+    if ranged is not None:
+        totals = ranged.groupBy(*keys).agg(timed.alias("_timed"), rows.alias("_rows"))
         df = join_on_keys(df, totals, keys, "inner")
     else:
         window = Window.partitionBy(*keys)

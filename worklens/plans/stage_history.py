@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch_to_local, json_scalar, ms_to_seconds
 from ..operators import (
+    PART,
     attach_latest_attribute,
     by_group_size,
     hot_keys,
+    in_time_ranges,
     iteration,
     latest_by,
     latest_flag,
     remap_values,
     scope,
     sequence,
+    written,
 )
 from ..operators.groups import HOT_ROWS
 from ..sources import from_year
@@ -62,18 +65,17 @@ def number_stages(
     windows that share one exchange.
     """
 
-    def number(rows: DataFrame, spread: bool) -> DataFrame:
-        rows = sequence(rows, keys, order, tiebreak, spread=spread)
-        rows = latest_flag(rows, keys, order, tiebreak, position="stage_flow", spread=spread)
-        return iteration(rows, keys, node, order, tiebreak, spread=spread)
-
-    return by_group_size(
-        stages,
-        keys,
-        hot,
-        plain=lambda rows: number(rows, spread=False),
-        spread=lambda rows: number(rows, spread=True),
-    )
+    def number(rows: DataFrame, ranged: DataFrame | None = None) -> DataFrame:
+        by_time = (order, tiebreak)
+        rows = sequence(rows, keys, *by_time, ranged=ranged)
+        rows = latest_flag(rows, keys, *by_time, position="stage_flow", ranged=ranged)
+        return iteration(rows, keys, node, *by_time, ranged=ranged)
+
+    def spread(rows: DataFrame) -> DataFrame:
+        ranged = in_time_ranges(rows, keys, order, tiebreak)
+        return number(ranged, ranged).drop(PART)
+
+    return by_group_size(stages, keys, hot, number, spread)
 
 
 def stage_history(
@@ -101,6 +103,10 @@ def stage_history(
         "blurduration", "number_of_pages",
     )
     newest = latest_by(needed, VERSION_KEY, "updatedat")
+    if hot is not None:
+        # Large tasks are numbered in jobs of their own: write the versions once
+        # instead of picking them again for each.
+        newest = written(newest)
     # Only listed projects are left, so their list bounds the name table.
     projects = len({project for _, project in pairs})
     named = attach_latest_attribute(

@@ -27,7 +27,10 @@ def object_cells(stats: DataFrame, pairs: Sequence[tuple]) -> DataFrame:
     An object touched by two workers counts twice. Two aggregates, both combined
     before their shuffle, so the rows of one large document are spread out.
     """
-    rows = scope(rename_source(stats, RENAMES["time_stats"]), pairs).select(
+    records = scope(rename_source(stats, RENAMES["time_stats"]), pairs)
+    # The report joins its parts on the document, so NULL keys have no result.
+    known = records.where(F.col("batch").isNotNull() & F.col("document_id").isNotNull())
+    rows = known.select(
         "organization_id",
         "project_id",
         strip_marker(F.col("batch")).alias("labeltaskid"),
@@ -38,12 +41,9 @@ def object_cells(stats: DataFrame, pairs: Sequence[tuple]) -> DataFrame:
         "identity",
         "time_spent",
     )
-    per_object = (
-        # The report joins its parts on the document, so NULL keys have no result.
-        rows.dropna(subset=DOCUMENT)
-        .groupBy(*DOCUMENT, "updatedby", "object_type", "class", "identity")
-        .agg(F.sum("time_spent").alias("timespent"))
-    )
+    per_object = rows.groupBy(
+        *DOCUMENT, "updatedby", "object_type", "class", "identity"
+    ).agg(F.sum("time_spent").alias("timespent"))
     counted = F.col("class").isNotNull() & F.col("identity").isNotNull()
     return per_object.groupBy(*DOCUMENT, "object_type", "class").agg(
         F.sum("timespent").alias("timespent"),
@@ -69,23 +69,25 @@ def time_per_object(
     """
     labelled = F.col("class") != F.lit("")
     by_type = Window.partitionBy(*DOCUMENT, "object_type")
-    by_document = Window.partitionBy(*DOCUMENT)
+    # Ordered by type only so that both windows share one sort; the frame is the
+    # whole document.
+    by_document = (
+        Window.partitionBy(*DOCUMENT)
+        .orderBy("object_type")
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
     cells = object_cells(stats, pairs).withColumns(
         {
             "_time": F.when(labelled, F.col("timespent")),
             "_objects": F.when(labelled, F.col("object_count")),
         }
     )
-    # The finer window first: its sort order serves the coarser one as well.
     totals = cells.withColumns(
-        {
-            "_type_time": F.sum("_time").over(by_type),
-            "_type_objects": F.sum("_objects").over(by_type),
-        }
-    ).withColumns(
         {
             "_document_time": F.sum("_time").over(by_document),
             "_duration": F.sum("timespent").over(by_document),
+            "_type_time": F.sum("_time").over(by_type),
+            "_type_objects": F.sum("_objects").over(by_type),
         }
     )
 
