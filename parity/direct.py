@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from worklens import functions as C
 from worklens.operators import distinct_where, remap_values, scope
-from worklens.plans.issue_daily import GROUP
-from worklens.plans.stage_history import COLUMNS, TASK_KEY
-from worklens.plans.time_per_object import DOCUMENT
+from worklens.plans.issues import GROUP
+from worklens.plans.stages import COLUMNS, TASK_KEY
+from worklens.plans.objects import DOCUMENT
 from worklens.sources import RENAMES, from_year, rename_source
 
 

@@ -51,8 +51,12 @@ def text(col: str) -> Column:
 
 
 def epoch_us(col: str) -> Column:
-    """Microseconds of a zone-less timestamp; the session zone must be UTC."""
-    return F.unix_micros(F.col(col).cast("timestamp"))
+    """Microseconds of a zone-less timestamp, whatever the session zone."""
+    time = F.col(col)
+    minutes = F.hour(time) * 60 + F.minute(time)
+    whole = F.unix_date(F.to_date(time)).cast("bigint") * 86_400 + minutes * 60
+    second = F.extract(F.lit("SECOND"), time)
+    return whole * 1_000_000 + (second * 1_000_000).cast("bigint")
 
 
 def epoch_s(col: str) -> Column:

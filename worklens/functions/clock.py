@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: 5 h 30 min in seconds.
+# Fixed value: the shift of the reports in seconds. It is 5 h 25 min, five
+# minutes short of the zone it stands for (+05:30); pass 19_800 for that.
 LOCAL_OFFSET_S = 19500
 # Fixed value: the task report adds the same number to milliseconds, which
-# shifts by 19.5 s only. Pass 19_500_000 for true local time.
+# shifts by 19.5 s only. Pass 19_800_000 for +05:30.
 TASK_OFFSET_MS = 19500
 
 

@@ -2,7 +2,7 @@
 
 from .counts import distinct_by_tag, distinct_composite, distinct_counts, distinct_where
 from .groups import PART, by_group_size, hot_keys, written
-from .scope import scope
+from .tenants import scope
 from .sequence import in_time_ranges, iteration, latest_flag, sequence
 from .shares import drop_blank, keyed_map, per_object_minutes, regroup, share_of_total
 from .values import remap_values

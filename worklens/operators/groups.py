@@ -111,5 +111,6 @@ def placed_by_range(
     ``part`` numbers the ranges in order. With a unique sort key a range holds
     no more than its share of the rows, whatever the sizes of the groups.
     """
-    ranged = df.repartitionByRange(*sort_key)
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(count, *sort_key)
     return written(ranged.withColumn(part, F.spark_partition_id()))

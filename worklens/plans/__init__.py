@@ -1,10 +1,10 @@
 """The five reports. Each takes input DataFrames and returns the result DataFrame."""
 
-from .classification_extract import classification_extract
-from .issue_daily import issue_daily
-from .stage_history import number_stages, stage_history
-from .task_rollup import task_rollup
-from .time_per_object import time_per_object
+from .classifications import classification_extract
+from .issues import issue_daily
+from .objects import time_per_object
+from .stages import number_stages, stage_history
+from .tasks import task_rollup
 
 __all__ = [
     "classification_extract",
