@@ -134,8 +134,7 @@ def latest_flag(spark, sf_dir):
 def stage_numbers_split(spark, sf_dir):
     """All three numbers, the larger users spread over many tasks."""
     stages = _stages(spark, sf_dir)
-    hot = O.hot_keys(stages, ["user_id"], SPLIT_ROWS)
-    return R.number_stages(stages, ["user_id"], "stage", "ts", ["event_id"], hot)
+    return O.number_stages(stages, ["user_id"], "stage", "ts", ["event_id"], SPLIT_ROWS)
 
 
 def stage_history(spark, sf_dir):
@@ -225,14 +224,14 @@ def share_of_total(spark, sf_dir):
 def share_of_total_split(spark, sf_dir):
     """Shares per supplier; the suppliers with more rows than most are not shuffled."""
     lines = _quantities(spark, sf_dir)
-    hot = O.hot_keys(lines, ["l_suppkey"], 600)
-    shares = O.share_of_total(lines, "quantity", ["l_suppkey"], "share", hot)
+    shares = O.share_of_total(lines, "quantity", ["l_suppkey"], "share", 600)
     return shares.withColumn("share_4", C.round_double(F.col("share"), 4))
 
 
 def share_of_type(spark, sf_dir):
     typed = O.regroup(_quantities(spark, sf_dir), ["l_orderkey", "l_linestatus"], ["quantity"])
-    shares = O.share_of_total(typed, "quantity", ["l_orderkey"], "share")
+    # a few rows per order are left, so no group can be large
+    shares = O.share_of_total(typed, "quantity", ["l_orderkey"], "share", hot=None)
     return shares.withColumn("share", C.round_double(F.col("share"), 2))
 
 
@@ -247,7 +246,7 @@ def _order_maps(spark, sf_dir):
         F.lit(1).cast("bigint").alias("lines"),
     )
     cells = O.regroup(O.drop_blank(lines, "label"), ["l_orderkey", "label"], ["quantity", "lines"])
-    shares = O.share_of_total(cells, "quantity", ["l_orderkey"], "share")
+    shares = O.share_of_total(cells, "quantity", ["l_orderkey"], "share", hot=None)
     entry = F.struct(
         F.col("label").alias("key"), C.round_double(F.col("share"), 2).alias("share"), "lines"
     )

@@ -32,19 +32,33 @@ def json_key_list(col: Column, key: str = "key", strict: bool = True) -> Column:
     An element without a scalar there counts as NULL, kept once. ``strict``
     fails on bad JSON and on anything but an array; otherwise these give NULL.
     """
-    if strict:
-        elements = F.parse_json(col).cast("array<variant>")
-    else:
-        elements = F.try_variant_get(F.try_parse_json(col), "$", "array<variant>")
     path = f"$.{key}"
 
-    def scalar(element: Column) -> Column:
-        return _scalar_text(
-            F.try_variant_get(element, path, "string"),
-            F.try_variant_get(element, path, "variant"),
+    def exact() -> Column:
+        """Any JSON, by the type of each element; several times the work."""
+        if strict:
+            elements = F.parse_json(col).cast("array<variant>")
+        else:
+            elements = F.try_variant_get(F.try_parse_json(col), "$", "array<variant>")
+        return F.transform(
+            elements,
+            lambda element: _scalar_text(
+                F.try_variant_get(element, path, "string"),
+                F.try_variant_get(element, path, "variant"),
+            ),
         )
 
-    return F.array_distinct(F.transform(elements, scalar))
+    def keys_of(objects: Column) -> Column:
+        """Plain arrays of objects straight from the parsed structs."""
+        keys = objects[key]
+        nested = F.exists(keys, lambda k: k.startswith("{") | k.startswith("["))
+        plain = objects.isNotNull() & F.coalesce(~nested, F.lit(True))
+        return F.when(plain, keys).otherwise(exact())
+
+    # Single objects would be read as an array of one, so only texts that start
+    # as an array are; the lambda keeps the parsed value from being made twice.
+    objects = F.from_json(F.when(F.startswith(col, F.lit("[")), col), f"array<struct<`{key}`:string>>")
+    return F.array_distinct(F.get(F.transform(F.array(objects), keys_of), F.lit(0)))
 
 
 def map_to_json(col: Column) -> Column:

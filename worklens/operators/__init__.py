@@ -1,15 +1,14 @@
 """DataFrame transformations the reports are built from."""
 
 from .counts import distinct_by_tag, distinct_composite, distinct_counts, distinct_where
-from .groups import PART, by_group_size, hot_keys, written
+from .groups import by_group_size, hot_keys, written
 from .tenants import scope
-from .sequence import in_time_ranges, iteration, latest_flag, sequence
+from .sequence import iteration, latest_flag, number_stages, sequence
 from .shares import drop_blank, keyed_map, per_object_minutes, regroup, share_of_total
 from .values import remap_values
 from .versions import attach_latest_attribute, latest_attribute, latest_by
 
 __all__ = [
-    "PART",
     "attach_latest_attribute",
     "by_group_size",
     "distinct_by_tag",
@@ -18,12 +17,12 @@ __all__ = [
     "distinct_where",
     "drop_blank",
     "hot_keys",
-    "in_time_ranges",
     "iteration",
     "keyed_map",
     "latest_attribute",
     "latest_by",
     "latest_flag",
+    "number_stages",
     "per_object_minutes",
     "regroup",
     "remap_values",

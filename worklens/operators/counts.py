@@ -12,6 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Conditions held in one bigint.
+BITS = 63
+
 
 def distinct_where(entity: Column, condition: Column) -> Column:
     """Aggregate: distinct entities among the rows where ``condition`` is true."""
@@ -37,17 +40,30 @@ def distinct_counts(
 
     Equals one ``distinct_where`` per condition. A NULL entity counts nowhere,
     but its group stays, with 0. Both steps combine before their shuffle, so
-    neither a large group nor an often repeated entity ends up in one task.
+    neither a large group nor an often repeated entity ends up in one task. The
+    conditions travel as bits of a number, not as a column each.
     """
-    met = [F.bool_or(c).alias(f"_met_{name}") for name, c in conditions.items()]
+    places = {name: divmod(at, BITS) for at, name in enumerate(conditions)}
+    words: dict[int, Column] = {}
+    for name, condition in conditions.items():
+        word, bit = places[name]
+        met = F.when(condition, F.lit(1 << bit)).otherwise(F.lit(0)).cast("bigint")
+        words[word] = words[word].bitwiseOR(met) if word in words else met
     entities = df.groupBy(*group, entity)
-    per_entity = entities.agg(*met) if met else entities.agg(F.lit(True))
+    per_entity = (
+        entities.agg(*[F.bit_or(w).alias(f"_met_{n}") for n, w in words.items()])
+        if words
+        else entities.agg(F.lit(True))
+    )
     known = F.col(entity).isNotNull()
+
+    def count(name: str) -> Column:
+        word, bit = places[name]
+        met = F.col(f"_met_{word}").bitwiseAND(F.lit(1 << bit)) != F.lit(0)
+        return F.count_if(known & met).alias(name)
+
     totals = [F.count_if(known).alias(total)] if total else []
-    return per_entity.groupBy(*group).agg(
-        *totals,
-        *[F.count_if(known & F.col(f"_met_{name}")).alias(name) for name in conditions],
-    )
+    return per_entity.groupBy(*group).agg(*totals, *[count(name) for name in conditions])
 
 
 def distinct_by_tag(

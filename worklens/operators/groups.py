@@ -61,11 +61,17 @@ def join_on_keys(
 def by_group_size(
     df: DataFrame,
     keys: Sequence[str],
-    hot: DataFrame | None,
+    hot: DataFrame | int | None,
     plain: Callable[[DataFrame], DataFrame],
     spread: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """``plain`` on the ordinary groups and ``spread`` on those listed in ``hot``."""
+    """``plain`` on the ordinary groups, ``spread`` on the hot ones.
+
+    ``hot`` lists the hot keys, or is the number of rows from which ``hot_keys``
+    looks for them; None leaves every group to one task.
+    """
+    if isinstance(hot, int):
+        hot = hot_keys(df, keys, hot)
     if hot is None:
         return plain(df)
     ordinary = join_on_keys(df, hot, keys, "left_anti")

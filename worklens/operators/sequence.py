@@ -3,30 +3,29 @@
 All functions need ``tiebreak`` columns that make the order within a group
 unique; otherwise numbers could differ between runs. NULL times come last.
 
-``ranged`` is for groups too large for one task, those ``hot_keys`` finds: the
-result of ``in_time_ranges``, which ``df`` must be or come from. Rows are then
-numbered within their range, and the rows of the same group in earlier ranges
-are added, so a group may span any number of tasks.
+Groups of ordinary size are numbered by windows. Hot groups (see ``groups``) are
+cut into ranges of time: rows are numbered within their range, and the rows of
+the same group in earlier ranges are added, so a group may span any number of
+tasks. ``hot`` lists the hot keys or gives the size from which to look for them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .groups import PART, join_on_keys, placed_by_range
+from .groups import HOT_ROWS, PART, by_group_size, join_on_keys, placed_by_range
 
 
 def _by_time(order: str, tiebreak: Sequence[str]) -> list[Column]:
     return [F.col(order).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]]
 
 
-def in_time_ranges(
+def _in_time_ranges(
     df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[str]
 ) -> DataFrame:
-    """Number consecutive ranges of ``keys`` and time in the column ``PART``."""
     return placed_by_range(df, [*[F.col(k) for k in keys], *_by_time(order, tiebreak)])
 
 
@@ -39,6 +38,7 @@ def _number(
     ranged: DataFrame | None,
     bounded: bool,
 ) -> DataFrame:
+    """Position within ``keys``; ``ranged`` is the written table ``df`` comes from."""
     group = list(keys) if ranged is None else [*keys, PART]
     window = Window.partitionBy(*group).orderBy(*_by_time(order, tiebreak))
     numbered = df.withColumn(name, F.row_number().over(window).cast("bigint"))
@@ -54,18 +54,61 @@ def _number(
     return total.withColumn(name, F.col(name) + F.col("_earlier")).drop("_earlier")
 
 
+def _flag_latest(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    position: str,
+    name: str,
+    ranged: DataFrame | None,
+) -> DataFrame:
+    """``'Yes'`` where ``position`` is that of the last row with a time."""
+    timed, rows = F.count(F.col(order)), F.count(F.lit(1))
+    if ranged is None:
+        window = Window.partitionBy(*keys)
+        df = df.withColumns({"_timed": timed.over(window), "_rows": rows.over(window)})
+    else:
+        totals = ranged.groupBy(*keys).agg(timed.alias("_timed"), rows.alias("_rows"))
+        df = join_on_keys(df, totals, keys, "inner")
+    last = F.when(F.col("_timed") > 0, F.col("_timed")).otherwise(F.col("_rows"))
+    flag = F.when(F.col(position) == last, F.lit("Yes")).otherwise(F.lit("Other"))
+    return df.withColumn(name, flag).drop("_timed", "_rows")
+
+
+Step = Callable[[DataFrame, DataFrame | None], DataFrame]
+
+
+def _by_size(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    tiebreak: Sequence[str],
+    hot: DataFrame | int | None,
+    step: Step,
+) -> DataFrame:
+    def spread(rows: DataFrame) -> DataFrame:
+        ranged = _in_time_ranges(rows, keys, order, tiebreak)
+        return step(ranged, ranged).drop(PART)
+
+    return by_group_size(df, keys, hot, lambda rows: step(rows, None), spread)
+
+
 def sequence(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     tiebreak: Sequence[str],
     name: str = "stage_flow",
-    ranged: DataFrame | None = None,
+    hot: DataFrame | int | None = HOT_ROWS,
 ) -> DataFrame:
     """Position 1..n of each row within ``keys``, by ``order`` ascending."""
-    # A range begins at most one group it shares with the range before, so there
-    # are no more (group, range) pairs than groups and ranges together.
-    return _number(df, keys, order, tiebreak, name, ranged, bounded=True)
+
+    def step(rows: DataFrame, ranged: DataFrame | None) -> DataFrame:
+        # A range begins with at most one group it shares with the range before, so
+        # (group, range) pairs are no more than groups and ranges together.
+        return _number(rows, keys, order, tiebreak, name, ranged, bounded=True)
+
+    return _by_size(df, keys, order, tiebreak, hot, step)
 
 
 def iteration(
@@ -75,10 +118,14 @@ def iteration(
     order: str,
     tiebreak: Sequence[str],
     name: str = "node_iteration",
-    ranged: DataFrame | None = None,
+    hot: DataFrame | int | None = HOT_ROWS,
 ) -> DataFrame:
     """How often the value in ``node`` has occurred within ``keys`` up to this row."""
-    return _number(df, [*keys, node], order, tiebreak, name, ranged, bounded=False)
+
+    def step(rows: DataFrame, ranged: DataFrame | None) -> DataFrame:
+        return _number(rows, [*keys, node], order, tiebreak, name, ranged, bounded=False)
+
+    return _by_size(df, keys, order, tiebreak, hot, step)
 
 
 def latest_flag(
@@ -87,26 +134,40 @@ def latest_flag(
     order: str,
     tiebreak: Sequence[str],
     name: str = "is_latest",
-    position: str | None = None,
-    ranged: DataFrame | None = None,
+    hot: DataFrame | int | None = HOT_ROWS,
 ) -> DataFrame:
     """``'Yes'`` on the newest row of each group, ``'Other'`` on the rest.
 
     The newest row is the last one with a time, or the last one of a group
-    without any. ``position`` names a column already made by ``sequence`` over
-    the same keys and order; the flag then needs no second sort.
+    without any.
     """
-    made = position or "_position"
-    if position is None:
-        df = sequence(df, keys, order, tiebreak, made, ranged)
-    timed, rows = F.count(F.col(order)), F.count(F.lit(1))
-    if ranged is not None:
-        totals = ranged.groupBy(*keys).agg(timed.alias("_timed"), rows.alias("_rows"))
-        df = join_on_keys(df, totals, keys, "inner")
-    else:
-        window = Window.partitionBy(*keys)
-        df = df.withColumns({"_timed": timed.over(window), "_rows": rows.over(window)})
-    last = F.when(F.col("_timed") > 0, F.col("_timed")).otherwise(F.col("_rows"))
-    flag = F.when(F.col(made) == last, F.lit("Yes")).otherwise(F.lit("Other"))
-    helpers = ["_timed", "_rows", *([] if position else [made])]
-    return df.withColumn(name, flag).drop(*helpers)
+
+    def step(rows: DataFrame, ranged: DataFrame | None) -> DataFrame:
+        rows = _number(rows, keys, order, tiebreak, "_position", ranged, bounded=True)
+        return _flag_latest(rows, keys, order, "_position", name, ranged).drop("_position")
+
+    return _by_size(df, keys, order, tiebreak, hot, step)
+
+
+def number_stages(
+    df: DataFrame,
+    keys: Sequence[str],
+    node: str,
+    order: str,
+    tiebreak: Sequence[str],
+    hot: DataFrame | int | None = HOT_ROWS,
+) -> DataFrame:
+    """``sequence``, ``iteration`` and ``latest_flag`` at once.
+
+    The windows share one exchange, the flag needs no sort of its own, and hot
+    groups are written once.
+    """
+
+    def step(rows: DataFrame, ranged: DataFrame | None) -> DataFrame:
+        rows = _number(rows, keys, order, tiebreak, "stage_flow", ranged, bounded=True)
+        rows = _flag_latest(rows, keys, order, "stage_flow", "is_latest", ranged)
+        return _number(
+            rows, [*keys, node], order, tiebreak, "node_iteration", ranged, bounded=False
+        )
+
+    return _by_size(df, keys, order, tiebreak, hot, step)

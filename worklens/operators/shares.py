@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import round_double
-from .groups import by_group_size, join_on_keys
+from .groups import HOT_ROWS, by_group_size, join_on_keys
 
 
 def drop_blank(df: DataFrame, column: str) -> DataFrame:
@@ -26,12 +26,12 @@ def share_of_total(
     value: str,
     keys: Sequence[str],
     name: str,
-    hot: DataFrame | None = None,
+    hot: DataFrame | int | None = HOT_ROWS,
 ) -> DataFrame:
     """``value`` as a share of its sum over ``keys``; NULL where the sum is 0 or NULL.
 
-    Groups listed in ``hot`` (see ``hot_keys``) are not moved at all: their
-    totals are combined first and then broadcast.
+    The rows of hot groups (listed, or those of more than ``hot`` rows) are not
+    moved at all: their totals are combined first and then broadcast.
     """
     part = F.col(value).cast("double")
 

@@ -9,17 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch_to_local, json_scalar, ms_to_seconds
 from ..operators import (
-    PART,
     attach_latest_attribute,
-    by_group_size,
     hot_keys,
-    in_time_ranges,
-    iteration,
     latest_by,
-    latest_flag,
+    number_stages,
     remap_values,
     scope,
-    sequence,
     written,
 )
 from ..operators.groups import HOT_ROWS
@@ -51,33 +46,6 @@ COLUMNS = [
 ]
 
 
-def number_stages(
-    stages: DataFrame,
-    keys: Sequence[str],
-    node: str,
-    order: str,
-    tiebreak: Sequence[str],
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Add stage order, iteration number and latest flag within ``keys``.
-
-    The groups listed in ``hot`` are numbered over many tasks, all others by
-    windows that share one exchange.
-    """
-
-    def number(rows: DataFrame, ranged: DataFrame | None = None) -> DataFrame:
-        by_time = (order, tiebreak)
-        rows = sequence(rows, keys, *by_time, ranged=ranged)
-        rows = latest_flag(rows, keys, *by_time, position="stage_flow", ranged=ranged)
-        return iteration(rows, keys, node, *by_time, ranged=ranged)
-
-    def spread(rows: DataFrame) -> DataFrame:
-        ranged = in_time_ranges(rows, keys, order, tiebreak)
-        return number(ranged, ranged).drop(PART)
-
-    return by_group_size(stages, keys, hot, number, spread)
-
-
 def stage_history(
     logs: DataFrame,
     pairs: Sequence[tuple],
