@@ -247,18 +247,10 @@ def _order_maps(spark, sf_dir):
     )
     cells = O.regroup(O.drop_blank(lines, "label"), ["l_orderkey", "label"], ["quantity", "lines"])
     shares = O.share_of_total(cells, "quantity", ["l_orderkey"], "share", hot=None)
-    entry = F.struct(
-        F.col("label").alias("key"), C.round_double(F.col("share"), 2).alias("share"), "lines"
-    )
-    grouped = shares.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(entry)).alias("entries"),
+    return shares.groupBy("l_orderkey").agg(
         F.sum("quantity").alias("quantity"),
-    )
-    return grouped.select(
-        "l_orderkey",
-        "quantity",
-        O.keyed_map("key", "share", F.col("entries")).alias("shares"),
-        O.keyed_map("key", "lines", F.col("entries")).alias("counts"),
+        O.map_agg(F.col("label"), C.round_double(F.col("share"), 2)).alias("shares"),
+        O.map_agg(F.col("label"), F.col("lines")).alias("counts"),
     )
 
 

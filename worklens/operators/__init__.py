@@ -4,7 +4,7 @@ from .counts import distinct_by_tag, distinct_composite, distinct_counts, distin
 from .groups import by_group_size, hot_keys, written
 from .tenants import scope
 from .sequence import iteration, latest_flag, number_stages, sequence
-from .shares import drop_blank, keyed_map, per_object_minutes, regroup, share_of_total
+from .shares import drop_blank, map_agg, per_object_minutes, regroup, share_of_total
 from .values import remap_values
 from .versions import attach_latest_attribute, latest_attribute, latest_by
 
@@ -18,10 +18,10 @@ __all__ = [
     "drop_blank",
     "hot_keys",
     "iteration",
-    "keyed_map",
     "latest_attribute",
     "latest_by",
     "latest_flag",
+    "map_agg",
     "number_stages",
     "per_object_minutes",
     "regroup",

@@ -47,19 +47,30 @@ def share_of_total(
     return by_group_size(df, keys, hot, plain, spread)
 
 
-def keyed_map(key: str, value: str, entries: Column) -> Column:
-    """Map from an array of structs, sorted by ``key``; NULL if there is no entry.
+def map_agg(key: Column, value: Column, tie: Column | None = None) -> Column:
+    """Aggregate: map of ``key`` to ``value``, in key order; NULL if there is no key.
 
-    The entries must be in the order of ``array_sort``. Of several entries with
-    one key the first is kept.
+    NULL keys are skipped. Of several rows with one key the value of the least
+    ``tie`` is kept, then the least value. A group's keys end up in one row, so
+    aggregate to one row per key first where a key may repeat without bound.
     """
-    first = F.filter(
-        entries,
-        lambda entry, at: (at == 0)
-        | (F.get(entries, at - 1)[key] != entry[key]),
+    entry = F.struct(
+        key.alias("key"),
+        *([] if tie is None else [tie.alias("tie")]),
+        value.alias("value"),
     )
-    pairs = F.transform(first, lambda entry: F.struct(entry[key], entry[value]))
-    return F.when(F.size(entries) > 0, F.map_from_entries(pairs))
+    collected = F.array_sort(F.collect_list(F.when(key.isNotNull(), entry)))
+
+    def to_map(entries: Column) -> Column:
+        first_of_key = F.filter(
+            entries,
+            lambda e, at: (at == 0) | (F.get(entries, at - 1)["key"] != e["key"]),
+        )
+        pairs = F.transform(first_of_key, lambda e: F.struct(e["key"], e["value"]))
+        return F.when(F.size(entries) > 0, F.map_from_entries(pairs))
+
+    # The lambda keeps the sorted entries from being made again at every use.
+    return F.get(F.transform(F.array(collected), to_map), F.lit(0))
 
 
 def per_object_minutes(

@@ -14,7 +14,7 @@ from ..functions import (
     round_double,
     strip_marker,
 )
-from ..operators import keyed_map, per_object_minutes, scope
+from ..operators import map_agg, per_object_minutes, scope
 from ..sources import RENAMES, rename_source
 from .defaults import OBJECT_CLASSES, OBJECT_TYPES
 
@@ -95,35 +95,33 @@ def time_per_object(
         ratio = F.try_divide(F.col(time).cast("double"), F.col("_document_time").cast("double"))
         return round_double(ratio, 2)
 
-    class_entry = F.struct(
-        F.col("class").alias("key"),
-        F.col("object_type"),
-        share("timespent").alias("share"),
-        F.col("object_count").alias("objects"),
+    by_type_figures = F.struct(
+        share("_type_time").alias("share"), F.col("_type_objects").alias("objects")
     )
-    type_entry = F.struct(
-        F.col("object_type").alias("key"),
-        share("_type_time").alias("share"),
-        F.col("_type_objects").alias("objects"),
+    by_class_figures = F.struct(
+        share("timespent").alias("share"), F.col("object_count").alias("objects")
     )
+    type_, class_ = F.col("object_type"), F.col("class")
     documents = (
         totals.where(labelled)
         .groupBy(*DOCUMENT)
         .agg(
-            F.max("_duration").alias("_duration"),
-            F.array_sort(F.collect_list(class_entry)).alias("_classes"),
-            F.array_sort(
-                F.collect_set(F.when(F.col("object_type").isNotNull(), type_entry))
-            ).alias("_types"),
+            map_agg(type_, by_type_figures).alias("_types"),
+            map_agg(class_, by_class_figures, tie=type_).alias("_classes"),
+            ms_to_seconds(F.max("_duration")).alias("duration_sec"),
         )
     )
+
+    def figure(column: str, field: str) -> Column:
+        return F.transform_values(column, lambda _, figures: figures[field])
+
     maps = documents.select(
         *DOCUMENT,
-        keyed_map("key", "share", F.col("_types")).alias("_type_shares"),
-        keyed_map("key", "objects", F.col("_types")).alias("_type_objects"),
-        keyed_map("key", "share", F.col("_classes")).alias("_class_shares"),
-        keyed_map("key", "objects", F.col("_classes")).alias("_class_objects"),
-        ms_to_seconds(F.col("_duration")).alias("duration_sec"),
+        figure("_types", "share").alias("_type_shares"),
+        figure("_types", "objects").alias("_type_objects"),
+        figure("_classes", "share").alias("_class_shares"),
+        figure("_classes", "objects").alias("_class_objects"),
+        "duration_sec",
     )
     seconds = F.col("duration_sec")
     return maps.select(
