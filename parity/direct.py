@@ -98,11 +98,13 @@ def time_per_object(stats, pairs, classes, object_types) -> DataFrame:
         kept = (
             frame.withColumn("share", ratio)
             .withColumn("_rn", F.row_number().over(first))
-            .where((F.col("_rn") == 1) & F.col(key).isNotNull())
+            .where(F.col("_rn") == 1)
         )
 
         def as_map(value: str) -> Column:
-            return F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value))))
+            entry = F.when(F.col(key).isNotNull(), F.struct(key, value))
+            entries = F.array_sort(F.collect_list(entry))
+            return F.when(F.size(entries) > 0, F.map_from_entries(entries))
 
         return kept.groupBy(*DOCUMENT).agg(
             as_map("share").alias(f"{prefix}_shares"), as_map("objects").alias(f"{prefix}_objects")

@@ -120,6 +120,13 @@ STAGE_HISTORY = """
     FROM stages
 """
 
+LATEST_ATTRIBUTE = """
+    SELECT event_id, user_id, newest.event_type, ts
+    FROM events JOIN (
+        SELECT user_id, arg_max_null(event_type, ts) AS event_type FROM events GROUP BY user_id
+    ) AS newest USING (user_id)
+"""
+
 SCOPED = "SELECT l_orderkey, l_suppkey, l_linenumber, l_quantity FROM lineitem WHERE"
 
 TIME_PER_OBJECT = """
@@ -225,12 +232,8 @@ ORACLE: dict[str, str] = {
         SELECT * FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
     """,
-    "latest_attribute": """
-        SELECT event_id, user_id, newest.event_type, ts
-        FROM events JOIN (
-            SELECT user_id, arg_max_null(event_type, ts) AS event_type FROM events GROUP BY user_id
-        ) AS newest USING (user_id)
-    """,
+    "latest_attribute": LATEST_ATTRIBUTE,
+    "latest_attribute_split": LATEST_ATTRIBUTE,
     "remap_values": f"SELECT stage AS label, count(*) AS n FROM ({STAGES}) GROUP BY stage",
     "ms_to_seconds": """
         SELECT o_orderkey,

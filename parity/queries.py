@@ -94,6 +94,12 @@ def latest_attribute(spark, sf_dir):
     return O.attach_latest_attribute(events, "user_id", "event_type", "ts")
 
 
+def latest_attribute_split(spark, sf_dir):
+    """The same without moving the rows of the larger users."""
+    events = S.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    return O.attach_latest_attribute(events, "user_id", "event_type", "ts", hot=SPLIT_ROWS)
+
+
 def remap_values(spark, sf_dir):
     label = O.remap_values(F.col("event_type"), S.LABELS)
     events = S.table(spark, sf_dir, "events")
@@ -288,6 +294,7 @@ QUERIES: dict[str, Query] = {
         issue_daily,
         latest_version,
         latest_attribute,
+        latest_attribute_split,
         remap_values,
         ms_to_seconds,
         stage_sequence,

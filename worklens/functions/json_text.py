@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Reader options for JSON as the standard has it.
+STANDARD = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
 
 def _scalar_text(value: Column, raw: Column) -> Column:
     """``value`` unless it is the text of a JSON object or array.
@@ -31,6 +34,7 @@ def json_key_list(col: Column, key: str = "key", strict: bool = True) -> Column:
 
     An element without a scalar there counts as NULL, kept once. ``strict``
     fails on bad JSON and on anything but an array; otherwise these give NULL.
+    Text behind the array is ignored.
     """
     path = f"$.{key}"
 
@@ -55,9 +59,11 @@ def json_key_list(col: Column, key: str = "key", strict: bool = True) -> Column:
         plain = objects.isNotNull() & F.coalesce(~nested, F.lit(True))
         return F.when(plain, keys).otherwise(exact())
 
-    # Single objects would be read as an array of one, so only texts that start
-    # as an array are; the lambda keeps the parsed value from being made twice.
-    objects = F.from_json(F.when(F.startswith(col, F.lit("[")), col), f"array<struct<`{key}`:string>>")
+    # A single object would be read as an array of one, so only texts that start
+    # as an array are. The lambda keeps the parsed value from being made twice.
+    objects = F.from_json(
+        F.when(F.startswith(col, F.lit("[")), col), f"array<struct<`{key}`:string>>", STANDARD
+    )
     return F.array_distinct(F.get(F.transform(F.array(objects), keys_of), F.lit(0)))
 
 

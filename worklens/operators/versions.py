@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .groups import HOT_ROWS, by_group_size
+
 # An attribute table known to have no more keys than this is broadcast.
 BROADCAST_KEYS = 100_000
 
@@ -46,16 +48,32 @@ def latest_attribute(
 
 
 def attach_latest_attribute(
-    df: DataFrame, key: str, attribute: str, order: str, max_keys: int | None = None
+    df: DataFrame,
+    key: str,
+    attribute: str,
+    order: str,
+    max_keys: int | None = None,
+    hot: DataFrame | int | None = HOT_ROWS,
 ) -> DataFrame:
     """Replace ``attribute`` by its newest value per key; a NULL key gets NULL.
 
-    ``max_keys`` is a bound on the number of keys the caller can prove; the
-    attribute table is broadcast if it is small, else Spark picks the join.
+    ``max_keys`` is a bound on the number of keys the caller can prove. Up to
+    ``BROADCAST_KEYS`` the values are broadcast and no row of ``df`` moves.
+    Otherwise this is so for the hot keys only, and Spark picks the join for the
+    rest.
     """
-    newest = latest_attribute(df, key, attribute, order)
-    newest = newest.select(F.col(key).alias("_key"), F.col(attribute).alias("_newest"))
+
+    def attach(rows: DataFrame, bounded: bool) -> DataFrame:
+        newest = latest_attribute(rows, key, attribute, order).select(
+            F.col(key).alias("_key"), F.col(attribute).alias("_newest")
+        )
+        joined = rows.join(
+            F.broadcast(newest) if bounded else newest, F.col(key) == F.col("_key"), "left"
+        )
+        return joined.withColumn(attribute, F.col("_newest")).drop("_key", "_newest")
+
     if max_keys is not None and max_keys <= BROADCAST_KEYS:
-        newest = F.broadcast(newest)
-    joined = df.join(newest, F.col(key) == F.col("_key"), "left")
-    return joined.withColumn(attribute, F.col("_newest")).drop("_key", "_newest")
+        return attach(df, bounded=True)
+    return by_group_size(
+        df, [key], hot, lambda rows: attach(rows, False), lambda rows: attach(rows, True)
+    )
