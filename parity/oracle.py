@@ -206,8 +206,8 @@ ORACLE: dict[str, str] = {
     """,
     "json_scalar": """
         SELECT event_id, json_extract_string('[' || props || ']', '$[0].k') AS k,
-               CAST(NULL AS VARCHAR) AS whole,
-               json_extract_string('[' || props || ']', '$[1].k') AS beyond
+               'no scalar' AS whole,
+               coalesce(json_extract_string('[' || props || ']', '$[1].k'), 'missing') AS beyond
         FROM events
     """,
     "distinct_where": """
@@ -312,7 +312,7 @@ ORACLE: dict[str, str] = {
         FROM ({ORDER_SHARES}) GROUP BY l_orderkey
     """,
     "per_object_minutes": f"""
-        SELECT l_orderkey, {_minutes('a')}, {_minutes('n')}, CAST(NULL AS DOUBLE) AS x_tpo
+        SELECT l_orderkey, {_minutes('a')}, {_minutes('n')}, count(*) FILTER (WHERE label = 'x') = 0 AS x_tpo
         FROM ({ORDER_SHARES}) GROUP BY l_orderkey
     """,
     "time_per_object": TIME_PER_OBJECT,

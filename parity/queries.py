@@ -56,8 +56,8 @@ def json_scalar(spark, sf_dir):
     return S.table(spark, sf_dir, "events").select(
         "event_id",
         C.json_scalar(value, "$[0].k").alias("k"),
-        C.json_scalar(value, "$[0]").alias("whole"),
-        C.json_scalar(value, "$[1].k").alias("beyond"),
+        F.coalesce(C.json_scalar(value, "$[0]"), F.lit("no scalar")).alias("whole"),
+        F.coalesce(C.json_scalar(value, "$[1].k"), F.lit("missing")).alias("beyond"),
     )
 
 
@@ -273,7 +273,8 @@ def per_object_minutes(spark, sf_dir):
         F.col("quantity"), F.col("shares"), F.col("counts"),
         {"a_tpo": "a", "n_tpo": "n", "x_tpo": "x"},
     )
-    return _order_maps(spark, sf_dir).select("l_orderkey", *minutes)
+    figures = _order_maps(spark, sf_dir).select("l_orderkey", *minutes)
+    return figures.withColumn("x_tpo", F.col("x_tpo").isNull())
 
 
 def time_per_object(spark, sf_dir):

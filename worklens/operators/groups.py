@@ -82,12 +82,12 @@ def by_group_size(
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, for tables that cut a lineage.
 
-    The one the session names in ``spark.checkpoint.dir`` or set as its
-    checkpoint folder. A local session without one gets a temporary folder; a
+    The one the session names in ``spark.checkpoint.dir``, else the checkpoint
+    folder set in the program. A local session without one gets a temporary folder; a
     cluster must name a shared one.
     """
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
