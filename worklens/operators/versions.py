@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .groups import HOT_ROWS, by_group_size
@@ -21,18 +21,16 @@ def latest_by(
     Rows of the same time are decided by ``tiebreak`` and then by the remaining
     columns, greatest first, so the choice is the same on every run.
 
-    It is the greatest struct of ``(order, tiebreak, rest)``: an aggregate, which
-    keeps one row per key and task before the shuffle, however often a key
-    occurs. All columns travel in that struct, so several readers of the result
-    share one exchange.
+    Spark limits each group to one row per task before the shuffle, however often
+    a key occurs. As all columns take part in the order, all are shuffled, and
+    several readers of the result share one exchange.
     """
     rest = [c for c in df.columns if c not in {order, *keys, *tiebreak}]
-    newest = F.max(F.struct(order, *tiebreak, *rest)).alias("_newest")
-    picked = {c: F.col(c) for c in keys} | {
-        c: F.col(f"_newest.{c}") for c in (order, *tiebreak, *rest)
-    }
-    grouped = df.groupBy(*keys).agg(newest)
-    return grouped.select(*[picked[c].alias(c) for c in df.columns])
+    newest_first = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).desc_nulls_last() for c in (order, *tiebreak, *rest)]
+    )
+    numbered = df.withColumn("_rn", F.row_number().over(newest_first))
+    return numbered.where(F.col("_rn") == 1).drop("_rn")
 
 
 def latest_attribute(
