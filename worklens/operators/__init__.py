@@ -3,7 +3,7 @@
 from .counts import distinct_by_tag, distinct_composite, distinct_counts, distinct_where
 from .groups import by_group_size, hot_keys, written
 from .tenants import scope
-from .sequence import iteration, latest_flag, number_stages, sequence
+from .ordering import iteration, latest_flag, number_stages, sequence
 from .shares import drop_blank, map_agg, per_object_minutes, regroup, share_of_total
 from .values import remap_values
 from .versions import attach_latest_attribute, latest_attribute, latest_by

@@ -20,6 +20,8 @@ HOT_ROWS = 5_000_000
 # At most this many keys are treated apart, the largest first; the others stay
 # on the plain route, which is exact as well. Bounds what is broadcast.
 MAX_HOT_KEYS = 10_000
+# A relation counted to have no more rows than this may be broadcast.
+BROADCAST_ROWS = 500_000
 # Column that numbers the ranges of a placed frame.
 PART = "_part"
 

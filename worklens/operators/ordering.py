@@ -16,7 +16,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .groups import HOT_ROWS, PART, by_group_size, join_on_keys, placed_by_range
+from .groups import (
+    BROADCAST_ROWS,
+    HOT_ROWS,
+    PART,
+    by_group_size,
+    join_on_keys,
+    placed_by_range,
+)
 
 
 def _by_time(order: str, tiebreak: Sequence[str]) -> list[Column]:
@@ -38,7 +45,11 @@ def _number(
     ranged: DataFrame | None,
     bounded: bool,
 ) -> DataFrame:
-    """Position within ``keys``; ``ranged`` is the written table ``df`` comes from."""
+    """Position within ``keys``; ``ranged`` is the written table ``df`` comes from.
+
+    ``bounded`` tells that there are few (group, range) pairs by construction;
+    otherwise they are counted before they are broadcast.
+    """
     group = list(keys) if ranged is None else [*keys, PART]
     window = Window.partitionBy(*group).orderBy(*_by_time(order, tiebreak))
     numbered = df.withColumn(name, F.row_number().over(window).cast("bigint"))
@@ -50,7 +61,8 @@ def _number(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(*group, (F.sum("_rows").over(up_to_here) - F.col("_rows")).alias("_earlier"))
     )
-    total = join_on_keys(numbered, earlier, group, "inner", bounded)
+    small = bounded or ranged.select(*group).distinct().count() <= BROADCAST_ROWS
+    total = join_on_keys(numbered, earlier, group, "inner", small)
     return total.withColumn(name, F.col(name) + F.col("_earlier")).drop("_earlier")
 
 

@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .groups import HOT_ROWS, by_group_size
-
-# An attribute table known to have no more keys than this is broadcast.
-BROADCAST_KEYS = 100_000
+from .groups import BROADCAST_ROWS, HOT_ROWS, by_group_size
 
 
 def latest_by(
@@ -56,7 +53,7 @@ def attach_latest_attribute(
     """Replace ``attribute`` by its newest value per key; a NULL key gets NULL.
 
     ``max_keys`` is a bound on the number of keys the caller can prove. Up to
-    ``BROADCAST_KEYS`` the values are broadcast and no row of ``df`` moves.
+    ``BROADCAST_ROWS`` the values are broadcast and no row of ``df`` moves.
     Otherwise this is so for the hot keys only, and Spark picks the join for the
     rest.
     """
@@ -70,7 +67,7 @@ def attach_latest_attribute(
         )
         return joined.withColumn(attribute, F.col("_newest")).drop("_key", "_newest")
 
-    if max_keys is not None and max_keys <= BROADCAST_KEYS:
+    if max_keys is not None and max_keys <= BROADCAST_ROWS:
         return attach(df, bounded=True)
     return by_group_size(
         df, [key], hot, lambda rows: attach(rows, False), lambda rows: attach(rows, True)
