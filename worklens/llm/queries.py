@@ -3,19 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets
+from . import packing, secrets, token_files
 from .common import fresh_path
 from .digests import count_of, joined_spans, of_kinds, sha256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers started from another folder must find this package, too.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file lies on this machine and the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+#: Closes every document's ids.
+END_ID = 2
+
+
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, through a new ledger."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,8 +44,27 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), END_ID)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written to files and read back."""
+    folder = fresh_path(spark, "ids")
+    token_files.write(
+        table(spark, sf_dir, "documents"), folder, vocabulary("byte_bpe_50k.json"), END_ID
+    )
+    return token_files.read(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op7_packing": op7_packing,
+    "op9_token_files": op9_token_files,
 }
 
 #: The same rows as SQL for DuckDB, where SQL can express them on whole tables.
