@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, secrets, token_files
+from . import packing, pii, secrets, token_files
 from .common import fresh_path
 from .digests import count_of, joined_spans, of_kinds, sha256
 
@@ -44,6 +44,29 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, by patterns and by bootstrapped contexts."""
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    base, every = F.col("spans"), F.concat("spans", "extra")
+    ordered = F.transform(
+        F.array_sort(
+            F.transform(
+                every,
+                lambda x: F.struct(
+                    pii.kind_rank(x["kind"]).alias("rank"), x["start"], x["end"], x["kind"]
+                ),
+            )
+        ),
+        lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")),
+    )
+    return found.select(
+        "doc_id",
+        *(count_of(base, kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        sha256(joined_spans(base)).alias("base_sha256"),
+        joined_spans(ordered).alias("spans"),
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     docs = table(spark, sf_dir, "documents")
@@ -63,6 +86,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op5_pii": op5_pii,
     "op7_packing": op7_packing,
     "op9_token_files": op9_token_files,
 }
