@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pii, secrets, token_files
+from . import packing, pii, quality, secrets, token_files
 from .common import fresh_path
 from .digests import count_of, joined_spans, of_kinds, sha256
 
@@ -84,11 +84,22 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier keeps, with how probably each is bad."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    labels = table(spark, sf_dir, "labels")
+    judged = quality.classify(docs, labels, F.col("source"), F.col("lang"))
+    return judged.where(quality.KEEP).select(
+        "doc_id", "source", "lang", F.col(quality.BAD).alias("bad_probability")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op5_pii": op5_pii,
     "op7_packing": op7_packing,
     "op9_token_files": op9_token_files,
+    "op10_quality": op10_quality,
 }
 
 #: The same rows as SQL for DuckDB, where SQL can express them on whole tables.
