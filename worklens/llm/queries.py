@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pii, quality, secrets, token_files
+from . import leaks, packing, pii, quality, secrets, token_files
 from .common import fresh_path
 from .digests import count_of, joined_spans, of_kinds, sha256
 
@@ -44,6 +44,21 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold passages of the benchmark."""
+    found = leaks.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        F.size("items").cast("long").alias("n_items"),
+        F.col("items").alias("item_ids"),
+        "n_tokens",
+        F.array_join(
+            F.transform("spans", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))),
+            ",",
+        ).alias("spans"),
+    )
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, by patterns and by bootstrapped contexts."""
     found = pii.detect(table(spark, sf_dir, "documents"))
@@ -96,6 +111,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_leaks": op2_leaks,
     "op5_pii": op5_pii,
     "op7_packing": op7_packing,
     "op9_token_files": op9_token_files,
