@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import leaks, packing, pii, quality, secrets, token_files
+from . import jaccard, leaks, packing, pii, quality, secrets, token_files
 from .common import fresh_path
 from .digests import count_of, joined_spans, of_kinds, sha256
 
@@ -59,6 +59,11 @@ def op2_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The similarity class of every document, and how many others are similar to it."""
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, by patterns and by bootstrapped contexts."""
     found = pii.detect(table(spark, sf_dir, "documents"))
@@ -112,6 +117,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_leaks": op2_leaks,
+    "op3_jaccard": op3_jaccard,
     "op5_pii": op5_pii,
     "op7_packing": op7_packing,
     "op9_token_files": op9_token_files,
