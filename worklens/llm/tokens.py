@@ -1,68 +1,109 @@
-"""Whole texts to token ids, encoding each distinct word of a slice once.
+"""Whole texts to token ids, encoding each distinct word once per worker.
 
 A text is cut in front of white space that follows something else than white
-space. Both public BPE tokenizers used here split a text at such places before
-they merge, and none of their words or special tokens reaches across one, so
-the ids of the pieces in a row are the ids of the text.
+space, and in front of a punctuation mark that follows a letter of ASCII. Both
+public BPE tokenizers used here split a text at such places before they merge,
+and none of their special tokens has such a place inside, so the ids of the
+pieces in a row are the ids of the text. A Python worker keeps the ids of pieces
+it has met, up to ``KEPT_PIECES``.
 """
 
 from __future__ import annotations
 
 import os
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import byte_set, text_bytes
 
-#: Text bytes encoded at once; more words recur in a larger slice.
-ENCODE_BYTES = 16_000_000
+#: Text bytes encoded at once.
+ENCODE_BYTES = 12_000_000
+#: Pieces whose ids a worker keeps; beyond, it starts anew.
+KEPT_PIECES = 1_500_000
 
-_CUT = byte_set(0x20, 0x0A)
+_MARK = byte_set(*b".,;:!?()[]{}\"'*$%&#-/")
+_CUT = byte_set(0x20, 0x0A) | _MARK
+_ALPHA = byte_set(*range(65, 91), *range(97, 123))
 _BLANK = byte_set(0x20, *range(0x09, 0x0E), *range(0x1C, 0x20))
 #: First bytes of the three-byte characters among which Unicode's white space is.
 _WIDE = byte_set(0xE1, 0xE2, 0xE3)
 _AFTER_C2 = byte_set(0x85, 0xA0)
 
 
-@lru_cache(maxsize=4)
-def tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
-def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where the pieces of all texts begin."""
-    cut = _CUT[data]
-    cut[1:] &= ~_BLANK[data[:-1]]
-    cut[2:] &= ~(_AFTER_C2[data[1:-1]] & (data[:-2] == 0xC2))
-    cut[3:] &= ~_WIDE[data[:-3]]
-    cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
-    return np.flatnonzero(cut)
-
-
-def _distinct(column: pa.Array, path: str):
-    """Codes of the pieces, the distinct pieces' ids end to end with offsets, and the rows' pieces."""
-    data, offsets = text_bytes(column)
-    if not len(data):
-        none = np.zeros(0, np.int64)
-        return none, none, np.zeros(1, np.int64), np.zeros(len(offsets), np.int64)
-    starts = pieces(data, offsets)
-    bounds = np.append(starts, len(data))
-    texts = pa.LargeStringArray.from_buffers(
-        len(starts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))
-    ).dictionary_encode()
-    encoded = tokenizer(path).encode_batch_fast(
-        texts.dictionary.to_pylist(), add_special_tokens=False
-    )
-    ids = [e.ids for e in encoded]
-    ends = np.zeros(len(ids) + 1, np.int64)
-    np.cumsum([len(x) for x in ids], out=ends[1:])
-    flat = np.fromiter((i for x in ids for i in x), np.int64, ends[-1])
-    return texts.indices.to_numpy(), flat, ends, np.searchsorted(starts, offsets)
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces of all texts begin, and an empty piece at each text's end; ascending."""
+    spot = np.flatnonzero(_CUT[data])
+    spot = spot[spot > 0]
+    mark, before = _MARK[data[spot]], data[spot - 1]
+    two, three = data[np.maximum(spot - 2, 0)], data[np.maximum(spot - 3, 0)]
+    blank = _BLANK[before] | (_AFTER_C2[before] & (two == 0xC2)) | _WIDE[three]
+    spot = spot[np.where(mark, _ALPHA[before], ~blank)]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    texts = np.concatenate([offsets[:-1][offsets[:-1] < offsets[1:]], offsets[1:]])
+    return np.sort(np.concatenate([spot[~edge[spot]], np.sort(texts)]), kind="stable")
+
+
+class Encoder:
+    """Ids of pieces, each encoded once."""
+
+    def __init__(self, path: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.end_id = end_id
+        self.forget()
+
+    def forget(self) -> None:
+        # The empty piece stands for the end of a text.
+        self.known = pa.array([""], pa.large_string())
+        self.ids = np.array([self.end_id], np.uint32)
+        self.ends = np.array([0, 1], np.int64)
+
+    def learn(self, pieces: pa.Array) -> np.ndarray:
+        """Places of the distinct ``pieces`` among the known ones."""
+        if len(self.known) + len(pieces) > KEPT_PIECES + 1:
+            self.forget()
+        place = pc.index_in(pieces, value_set=self.known)
+        if place.null_count:
+            new = pieces.filter(pc.is_null(place))
+            found = self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)
+            ids = [e.ids for e in found]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            more = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
+            fresh = np.arange(len(self.known), len(self.known) + len(new))
+            self.known = pa.concat_arrays([self.known, new])
+            self.ids = np.concatenate([self.ids, more])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+            at = pc.fill_null(place, -1).to_numpy().astype(np.int64)
+            at[at < 0] = fresh
+            return at
+        return place.to_numpy().astype(np.int64)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        data, offsets = text_bytes(column)
+        starts = piece_starts(data, offsets)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        bounds = np.append(starts, len(data))
+        texts = pa.LargeStringArray.from_buffers(
+            len(starts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))
+        ).dictionary_encode()
+        codes = self.learn(texts.dictionary)[texts.indices.to_numpy()]
+        first = self.ends[codes]
+        at = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(self.ends[codes + 1] - first, out=at[1:])
+        source = np.repeat(first - at[:-1], np.diff(at))
+        source += np.arange(at[-1])
+        # a text ends where its empty piece does
+        closing = np.flatnonzero(bounds[:-1] == bounds[1:])
+        return self.ids[source], np.append(0, at[closing + 1])
+
+
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
 def encode(column: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,24 +111,6 @@ def encode(column: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.nda
 
     Null and empty text give the end id alone.
     """
-    codes, flat, ends, rows = _distinct(column, path)
-    long = np.diff(ends)[codes] if len(codes) else codes
-    at = np.zeros(len(codes) + 1, np.int64)
-    np.cumsum(long, out=at[1:])
-    source = np.repeat(ends[:-1][codes] - at[:-1], long) + np.arange(at[-1])
-    offsets = at[rows] + np.arange(len(rows))
-    ids = np.full(at[-1] + len(rows) - 1, end_id, np.uint32)
-    keep = np.ones(len(ids), bool)
-    keep[offsets[1:] - 1] = False
-    ids[keep] = flat[source]
-    return ids, offsets
-
-
-def count(column: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ids that ``encode`` gives, and how often."""
-    codes, flat, ends, _ = _distinct(column, path)
-    often = np.repeat(np.bincount(codes, minlength=len(ends) - 1), np.diff(ends))
-    total = np.bincount(np.append(flat, end_id), np.append(often, len(column)))
-    found = np.flatnonzero(total)
-    return found, total[found].astype(np.int64)
-
+    if (path, end_id) not in _ENCODERS:
+        _ENCODERS[path, end_id] = Encoder(path, end_id)
+    return _ENCODERS[path, end_id].encode(column)
