@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, leaks, packing, pii, quality, secrets, token_files
+from . import jaccard, leaks, packing, pii, quality, secrets, suffixes, token_files
 from .common import fresh_path
 from .digests import count_of, joined_spans, of_kinds, sha256
 
@@ -87,6 +87,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 400-byte strings that occur again."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     docs = table(spark, sf_dir, "documents")
@@ -119,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_leaks": op2_leaks,
     "op3_jaccard": op3_jaccard,
     "op5_pii": op5_pii,
+    "op6_suffixes": op6_suffixes,
     "op7_packing": op7_packing,
     "op9_token_files": op9_token_files,
     "op10_quality": op10_quality,
