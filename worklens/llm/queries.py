@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, leaks, packing, pii, quality, secrets, suffixes, token_files
+from . import jaccard, leaks, neighbours, packing, pii, quality, secrets, suffixes, token_files
 from .common import fresh_path
 from .digests import count_of, joined_spans, of_kinds, sha256
 
@@ -98,6 +98,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary("word_bpe_49k.json"), END_ID)
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every 20th vector."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written to files and read back."""
     folder = fresh_path(spark, "ids")
@@ -126,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_suffixes": op6_suffixes,
     "op7_packing": op7_packing,
+    "op8_neighbours": op8_neighbours,
     "op9_token_files": op9_token_files,
     "op10_quality": op10_quality,
 }
