@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, leaks, neighbours, packing, pii, quality, secrets, suffixes, token_files
+from . import jaccard, leaks, neighbours, packing, pii, pitman_yor, quality, secrets, suffixes, token_files
 from .common import fresh_path
 from .digests import count_of, joined_spans, of_kinds, sha256
 
@@ -64,6 +64,12 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def op4_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document, a seventh of them held out of the model."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return pitman_yor.scores(table(spark, sf_dir, "documents"), held_out)
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, by patterns and by bootstrapped contexts."""
     found = pii.detect(table(spark, sf_dir, "documents"))
@@ -128,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_leaks": op2_leaks,
     "op3_jaccard": op3_jaccard,
+    "op4_scores": op4_scores,
     "op5_pii": op5_pii,
     "op6_suffixes": op6_suffixes,
     "op7_packing": op7_packing,
