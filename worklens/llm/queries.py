@@ -3,31 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import jaccard, leaks, neighbours, packing, pii, pitman_yor, quality, secrets, suffixes, token_files
 from .common import fresh_path
 from .digests import count_of, joined_spans, of_kinds, sha256
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Python workers started from another folder must find this package, too.
-    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def vocabulary(name: str) -> str:
-    """Where a public tokenizer's file lies on this machine and the executors."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
-#: Closes every document's ids.
-END_ID = 2
+from .settings import END_ID, table, vocabulary
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +126,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_token_files": op9_token_files,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: The same rows as SQL for DuckDB, where SQL can express them on whole tables.
 ORACLE: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
