@@ -28,7 +28,10 @@ def round_double(col: Column, digits: int) -> Column:
     """
     factor = F.lit(float(10**digits))
     scaled = F.abs(col) * factor
-    rounded = F.signum(col) * F.floor(scaled + F.lit(0.5)) / factor
+    whole = F.floor(scaled)
+    # The fraction is exact; adding a half to the number itself would round it.
+    up = F.when(scaled - whole >= F.lit(0.5), F.lit(1)).otherwise(F.lit(0))
+    rounded = F.signum(col) * (whole + up) / factor
     return F.when(scaled < F.lit(_WHOLE), rounded).otherwise(col)
 
 
