@@ -1,7 +1,6 @@
 """DataFrame transformations the reports are built from."""
 
 from .counts import distinct_by_tag, distinct_composite, distinct_counts, distinct_where
-from .groups import by_group_size, hot_keys, written
 from .tenants import scope
 from .ordering import iteration, latest_flag, number_stages, sequence
 from .shares import drop_blank, map_agg, per_object_minutes, regroup, share_of_total
@@ -10,13 +9,11 @@ from .versions import attach_latest_attribute, latest_attribute, latest_by
 
 __all__ = [
     "attach_latest_attribute",
-    "by_group_size",
     "distinct_by_tag",
     "distinct_composite",
     "distinct_counts",
     "distinct_where",
     "drop_blank",
-    "hot_keys",
     "iteration",
     "latest_attribute",
     "latest_by",
@@ -29,5 +26,4 @@ __all__ = [
     "scope",
     "sequence",
     "share_of_total",
-    "written",
 ]

@@ -3,10 +3,12 @@
 All functions need ``tiebreak`` columns that make the order within a group
 unique; otherwise numbers could differ between runs. NULL times come last.
 
-Groups of ordinary size are numbered by windows. Hot groups (see ``groups``) are
-cut into ranges of time: rows are numbered within their range, and the rows of
-the same group in earlier ranges are added, so a group may span any number of
-tasks. ``hot`` lists the hot keys or gives the size from which to look for them.
+A window puts each of its groups into one task. Where one group may hold a large
+part of all rows, pass ``cut``: a column that never decreases with ``order``, for
+example its day. Groups are then numbered per value of it, and the rows of the
+group's earlier values are added, so a group spans as many tasks as it has values. The
+numbers are the same either way, for every group, and nothing runs or is written before
+the result is used.
 """
 
 from __future__ import annotations
@@ -16,24 +18,19 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .groups import (
-    BROADCAST_ROWS,
-    HOT_ROWS,
-    PART,
-    by_group_size,
-    join_on_keys,
-    placed_by_range,
-)
+_CUT = "_cut"
 
 
 def _by_time(order: str, tiebreak: Sequence[str]) -> list[Column]:
     return [F.col(order).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]]
 
 
-def _in_time_ranges(
-    df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[str]
-) -> DataFrame:
-    return placed_by_range(df, [*[F.col(k) for k in keys], *_by_time(order, tiebreak)])
+def _join_on_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join by null-safe equality; Spark picks the join by the sizes it finds."""
+    renamed = {k: f"_other_{k}" for k in keys}
+    other = other.withColumnsRenamed(renamed)
+    match = [F.col(k).eqNullSafe(F.col(o)) for k, o in renamed.items()]
+    return df.join(other, match).drop(*renamed.values())
 
 
 def _number(
@@ -42,67 +39,42 @@ def _number(
     order: str,
     tiebreak: Sequence[str],
     name: str,
-    ranged: DataFrame | None,
-    bounded: bool,
+    cut: bool,
 ) -> DataFrame:
-    """Position within ``keys``; ``ranged`` is the written table ``df`` comes from.
-
-    ``bounded`` tells that there are few (group, range) pairs by construction;
-    otherwise they are counted before they are broadcast.
-    """
-    group = list(keys) if ranged is None else [*keys, PART]
+    """Position within ``keys``."""
+    group = [*keys, _CUT] if cut else list(keys)
     window = Window.partitionBy(*group).orderBy(*_by_time(order, tiebreak))
     numbered = df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    if ranged is None:
+    if not cut:
         return numbered
-    up_to_here = Window.partitionBy(*keys).orderBy(PART)
+    up_to_here = Window.partitionBy(*keys).orderBy(F.col(_CUT).asc_nulls_last())
     earlier = (
-        ranged.groupBy(*group)
+        df.groupBy(*group)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(*group, (F.sum("_rows").over(up_to_here) - F.col("_rows")).alias("_earlier"))
     )
-    small = bounded or ranged.select(*group).distinct().count() <= BROADCAST_ROWS
-    total = join_on_keys(numbered, earlier, group, "inner", small)
+    total = _join_on_keys(numbered, earlier, group)
     return total.withColumn(name, F.col(name) + F.col("_earlier")).drop("_earlier")
 
 
 def _flag_latest(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    position: str,
-    name: str,
-    ranged: DataFrame | None,
+    df: DataFrame, keys: Sequence[str], order: str, position: str, name: str, cut: bool
 ) -> DataFrame:
     """``'Yes'`` where ``position`` is that of the last row with a time."""
     timed, rows = F.count(F.col(order)), F.count(F.lit(1))
-    if ranged is None:
+    if cut:
+        totals = df.groupBy(*keys).agg(timed.alias("_timed"), rows.alias("_rows"))
+        df = _join_on_keys(df, totals, keys)
+    else:
         window = Window.partitionBy(*keys)
         df = df.withColumns({"_timed": timed.over(window), "_rows": rows.over(window)})
-    else:
-        totals = ranged.groupBy(*keys).agg(timed.alias("_timed"), rows.alias("_rows"))
-        df = join_on_keys(df, totals, keys, "inner")
     last = F.when(F.col("_timed") > 0, F.col("_timed")).otherwise(F.col("_rows"))
     flag = F.when(F.col(position) == last, F.lit("Yes")).otherwise(F.lit("Other"))
     return df.withColumn(name, flag).drop("_timed", "_rows")
 
 
-Step = Callable[[DataFrame, DataFrame | None], DataFrame]
-
-
-def _by_size(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    tiebreak: Sequence[str],
-    hot: DataFrame | int | None,
-    step: Step,
-) -> DataFrame:
-    def spread(rows: DataFrame) -> DataFrame:
-        ranged = _in_time_ranges(rows, keys, order, tiebreak)
-        return step(ranged, ranged).drop(PART)
-
-    return by_group_size(df, keys, hot, lambda rows: step(rows, None), spread)
+def _cut_by(df: DataFrame, cut: Column | None, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return step(df) if cut is None else step(df.withColumn(_CUT, cut)).drop(_CUT)
 
 
 def sequence(
@@ -111,16 +83,11 @@ def sequence(
     order: str,
     tiebreak: Sequence[str],
     name: str = "stage_flow",
-    hot: DataFrame | int | None = HOT_ROWS,
+    cut: Column | None = None,
 ) -> DataFrame:
     """Position 1..n of each row within ``keys``, by ``order`` ascending."""
-
-    def step(rows: DataFrame, ranged: DataFrame | None) -> DataFrame:
-        # A range begins with at most one group it shares with the range before, so
-        # (group, range) pairs are no more than groups and ranges together.
-        return _number(rows, keys, order, tiebreak, name, ranged, bounded=True)
-
-    return _by_size(df, keys, order, tiebreak, hot, step)
+    split = cut is not None
+    return _cut_by(df, cut, lambda rows: _number(rows, keys, order, tiebreak, name, split))
 
 
 def iteration(
@@ -130,14 +97,10 @@ def iteration(
     order: str,
     tiebreak: Sequence[str],
     name: str = "node_iteration",
-    hot: DataFrame | int | None = HOT_ROWS,
+    cut: Column | None = None,
 ) -> DataFrame:
     """How often the value in ``node`` has occurred within ``keys`` up to this row."""
-
-    def step(rows: DataFrame, ranged: DataFrame | None) -> DataFrame:
-        return _number(rows, [*keys, node], order, tiebreak, name, ranged, bounded=False)
-
-    return _by_size(df, keys, order, tiebreak, hot, step)
+    return sequence(df, [*keys, node], order, tiebreak, name, cut)
 
 
 def latest_flag(
@@ -146,19 +109,20 @@ def latest_flag(
     order: str,
     tiebreak: Sequence[str],
     name: str = "is_latest",
-    hot: DataFrame | int | None = HOT_ROWS,
+    cut: Column | None = None,
 ) -> DataFrame:
     """``'Yes'`` on the newest row of each group, ``'Other'`` on the rest.
 
     The newest row is the last one with a time, or the last one of a group
     without any.
     """
+    split = cut is not None
 
-    def step(rows: DataFrame, ranged: DataFrame | None) -> DataFrame:
-        rows = _number(rows, keys, order, tiebreak, "_position", ranged, bounded=True)
-        return _flag_latest(rows, keys, order, "_position", name, ranged).drop("_position")
+    def step(rows: DataFrame) -> DataFrame:
+        rows = _number(rows, keys, order, tiebreak, "_position", split)
+        return _flag_latest(rows, keys, order, "_position", name, split).drop("_position")
 
-    return _by_size(df, keys, order, tiebreak, hot, step)
+    return _cut_by(df, cut, step)
 
 
 def number_stages(
@@ -167,19 +131,17 @@ def number_stages(
     node: str,
     order: str,
     tiebreak: Sequence[str],
-    hot: DataFrame | int | None = HOT_ROWS,
+    cut: Column | None = None,
 ) -> DataFrame:
     """``sequence``, ``iteration`` and ``latest_flag`` at once.
 
-    The windows share one exchange, the flag needs no sort of its own, and hot
-    groups are written once.
+    Without ``cut`` the windows share one exchange, and the flag needs no sort of its own.
     """
+    split = cut is not None
 
-    def step(rows: DataFrame, ranged: DataFrame | None) -> DataFrame:
-        rows = _number(rows, keys, order, tiebreak, "stage_flow", ranged, bounded=True)
-        rows = _flag_latest(rows, keys, order, "stage_flow", "is_latest", ranged)
-        return _number(
-            rows, [*keys, node], order, tiebreak, "node_iteration", ranged, bounded=False
-        )
+    def step(rows: DataFrame) -> DataFrame:
+        rows = _number(rows, keys, order, tiebreak, "stage_flow", split)
+        rows = _flag_latest(rows, keys, order, "stage_flow", "is_latest", split)
+        return _number(rows, [*keys, node], order, tiebreak, "node_iteration", split)
 
-    return _by_size(df, keys, order, tiebreak, hot, step)
+    return _cut_by(df, cut, step)

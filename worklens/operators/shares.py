@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import round_double
-from .groups import HOT_ROWS, by_group_size, join_on_keys
 
 
 def drop_blank(df: DataFrame, column: str) -> DataFrame:
@@ -21,30 +20,59 @@ def regroup(df: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFram
     return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def share_of_total(
-    df: DataFrame,
-    value: str,
-    keys: Sequence[str],
-    name: str,
-    hot: DataFrame | int | None = HOT_ROWS,
-) -> DataFrame:
-    """``value`` as a share of its sum over ``keys``; NULL where the sum is 0 or NULL.
+# Exponents of two that one bin of an exact sum spans.
+_SPAN = 32
+
+
+def exact_totals(df: DataFrame, value: str, keys: Sequence[str], name: str) -> DataFrame:
+    """Sum of ``value`` per key as a double, the same bits in whatever order rows are added.
 
-    The rows of hot groups (listed, or those of more than ``hot`` rows) are not
-    moved at all: their totals are combined first and then broadcast.
+    Doubles are cut into two whole numbers on the scale of their size; these
+    are added without rounding, and only the few sums of a key are added as
+    doubles, from the small to the large. What is below 2 to the power of -960 is dropped.
+    NaN and infinities add up as usual. Other types are added as they are.
     """
-    part = F.col(value).cast("double")
+    if dict(df.dtypes)[value] not in ("double", "float"):
+        return df.groupBy(*keys).agg(F.sum(value).cast("double").alias(name))
+    x = F.col(value).cast("double")
+    odd = F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+    finite = F.when(~odd, x)
+    size = F.floor(F.log2(F.abs(finite)) / F.lit(float(_SPAN))).cast("int")
+    # zero has no logarithm and fits in any bin
+    bins = F.greatest(F.coalesce(F.when(finite != 0, size), F.lit(0)), F.lit(-29))
+    parts = df.select(*keys, x.alias("_x"), odd.alias("_odd"), finite.alias("_finite"), bins.alias("_bin"))
+    scaled = F.col("_finite") * F.pow(F.lit(2.0), F.lit(52.0) - F.lit(float(_SPAN)) * F.col("_bin"))
+    high = F.floor(scaled / F.lit(2.0**32))
+    low = F.floor(scaled - high.cast("double") * F.lit(2.0**32))
+    per_bin = parts.groupBy(*keys, "_bin").agg(
+        F.sum(high.cast("decimal(20,0)")).alias("_high"),
+        F.sum(low.cast("decimal(20,0)")).alias("_low"),
+        F.sum(F.when(F.col("_odd"), F.col("_x"))).alias("_special"),
+    )
+    whole = F.col("_high").cast("double") * F.lit(2.0**32) + F.col("_low").cast("double")
+    sized = whole * F.pow(F.lit(2.0), F.lit(float(_SPAN)) * F.col("_bin") - F.lit(52.0))
+    entry = F.when(whole.isNotNull(), F.struct(F.col("_bin"), sized.alias("_sized")))
+    collected = per_bin.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(entry)).alias("_bins"), F.sum("_special").alias("_special")
+    )
+    added = F.aggregate("_bins", F.lit(0.0), lambda total, b: total + b["_sized"])
+    total = F.coalesce(F.col("_special"), F.when(F.size("_bins") > 0, added))
+    return collected.select(*keys, total.alias(name))
 
-    def plain(rows: DataFrame) -> DataFrame:
-        total = F.sum(value).over(Window.partitionBy(*keys)).cast("double")
-        return rows.withColumn(name, F.try_divide(part, total))
 
-    def spread(rows: DataFrame) -> DataFrame:
-        totals = rows.groupBy(*keys).agg(F.sum(value).cast("double").alias("_total"))
-        with_total = join_on_keys(rows, totals, keys, "inner")
-        return with_total.withColumn(name, F.try_divide(part, F.col("_total"))).drop("_total")
+def share_of_total(df: DataFrame, value: str, keys: Sequence[str], name: str) -> DataFrame:
+    """``value`` as a share of its sum over ``keys``; NULL where the sum is 0 or NULL.
 
-    return by_group_size(df, keys, hot, plain, spread)
+    Totals are combined before their shuffle and joined back by Spark's choice of
+    join, which splits keys with many rows. Doubles give the same bits however
+    the rows are spread.
+    """
+    renamed = {k: f"_total_{k}" for k in keys}
+    totals = exact_totals(df, value, keys, "_total").withColumnsRenamed(renamed)
+    match = [F.col(k).eqNullSafe(F.col(t)) for k, t in renamed.items()]
+    part = F.col(value).cast("double")
+    joined = df.join(totals, match)
+    return joined.withColumn(name, F.try_divide(part, F.col("_total"))).drop("_total", *renamed.values())
 
 
 def map_agg(key: Column, value: Column, tie: Column | None = None) -> Column:

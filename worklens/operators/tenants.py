@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import PAIR_COLUMNS, scope_pairs
 
-# Up to this many values a key is also filtered by an IN list, which reaches the
-# parquet scan (partition and row-group pruning); the semi join still decides.
-PUSHED_VALUES = 500
-
 
 def _keep_listed(df: DataFrame, keys: Sequence[str], listed: DataFrame) -> DataFrame:
     listed = listed.select(*[F.col(k).alias(f"_listed_{k}") for k in keys])
@@ -31,14 +27,17 @@ def scope(
     ``mode="pair"`` tests both columns together; ``mode="independent"`` keeps any
     listed organization with any listed project.
 
-    The list is a local relation of known size, so Spark itself broadcasts it
-    while it is below ``autoBroadcastJoinThreshold`` and shuffles it beyond.
+    Each key is also filtered by the list of its values, of any length, which
+    reaches the scan: it prunes partitions by value, and row groups by the least
+    and greatest of more than a few. The semi join decides. Its list is a local relation
+    of known size, so Spark itself broadcasts it while it is below
+    ``autoBroadcastJoinThreshold`` and shuffles it beyond.
     """
     if mode not in ("pair", "independent"):
         raise ValueError(f"mode must be 'pair' or 'independent', not {mode!r}")
     for position, key in enumerate(keys):
         values = sorted({p[position] for p in pairs if p[position] is not None})
-        if 0 < len(values) <= PUSHED_VALUES:
+        if values:
             df = df.where(F.col(key).isin(*values))
     listed = scope_pairs(df.sparkSession, pairs, df.select(*keys).schema)
     if mode == "pair":

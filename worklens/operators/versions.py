@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .groups import BROADCAST_ROWS, HOT_ROWS, by_group_size
-
 
 def latest_by(
     df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[str] = ()
@@ -37,38 +35,27 @@ def latest_attribute(
 
     A NULL value there is returned; rows without an order are ignored. Rows of
     the same order are decided by the greatest value.
+
+    The greatest order of each value is hash-aggregated, combined before the
+    shuffle; only the values of a key, not its rows, are then put in order.
     """
-    rank = F.when(F.col(order).isNotNull(), F.struct(order, attribute))
-    return df.groupBy(key).agg(F.max_by(attribute, rank).alias(attribute))
+    per_value = df.groupBy(key, attribute).agg(F.max(order).alias("_order"))
+    newest_first = Window.partitionBy(key).orderBy(
+        F.col("_order").desc_nulls_last(), F.col(attribute).desc_nulls_last()
+    )
+    newest = per_value.withColumn("_rn", F.row_number().over(newest_first)).where("_rn = 1")
+    ordered = F.when(F.col("_order").isNotNull(), F.col(attribute))
+    return newest.select(key, ordered.alias(attribute))
 
 
-def attach_latest_attribute(
-    df: DataFrame,
-    key: str,
-    attribute: str,
-    order: str,
-    max_keys: int | None = None,
-    hot: DataFrame | int | None = HOT_ROWS,
-) -> DataFrame:
+def attach_latest_attribute(df: DataFrame, key: str, attribute: str, order: str) -> DataFrame:
     """Replace ``attribute`` by its newest value per key; a NULL key gets NULL.
 
-    ``max_keys`` is a bound on the number of keys the caller can prove. Up to
-    ``BROADCAST_ROWS`` the values are broadcast and no row of ``df`` moves.
-    Otherwise this is so for the hot keys only, and Spark picks the join for the
-    rest.
+    Spark picks the join by the size of the table of values, and splits keys
+    with many rows where that is shuffled.
     """
-
-    def attach(rows: DataFrame, bounded: bool) -> DataFrame:
-        newest = latest_attribute(rows, key, attribute, order).select(
-            F.col(key).alias("_key"), F.col(attribute).alias("_newest")
-        )
-        joined = rows.join(
-            F.broadcast(newest) if bounded else newest, F.col(key) == F.col("_key"), "left"
-        )
-        return joined.withColumn(attribute, F.col("_newest")).drop("_key", "_newest")
-
-    if max_keys is not None and max_keys <= BROADCAST_ROWS:
-        return attach(df, bounded=True)
-    return by_group_size(
-        df, [key], hot, lambda rows: attach(rows, False), lambda rows: attach(rows, True)
+    newest = latest_attribute(df, key, attribute, order).select(
+        F.col(key).alias("_key"), F.col(attribute).alias("_newest")
     )
+    joined = df.join(newest, F.col(key) == F.col("_key"), "left")
+    return joined.withColumn(attribute, F.col("_newest")).drop("_key", "_newest")

@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 from ..functions import epoch_to_local, json_scalar, ms_to_seconds
 from ..operators import (
     attach_latest_attribute,
-    hot_keys,
     latest_by,
     number_stages,
     remap_values,
     scope,
-    written,
 )
-from ..operators.groups import HOT_ROWS
 from ..sources import from_year
 from .defaults import MIN_YEAR, STAGE_LABELS
 
@@ -52,18 +49,17 @@ def stage_history(
     min_year: str | None = MIN_YEAR,
     labels: Mapping[str, Sequence[str]] = STAGE_LABELS,
     offset_s: int | None = None,
-    hot_rows: int | None = HOT_ROWS,
+    split_days: bool = False,
 ) -> DataFrame:
     """Newest version of each log with stage order, iteration number and latest flag.
 
     Organizations and projects are tested independently of each other. The
     project name is the newest of its project among the newest versions.
 
-    ``hot_rows`` is the size from which a task is numbered over many Spark tasks;
-    finding such tasks takes one count over two columns. None skips that.
+    ``split_days`` numbers each task day by day, for tasks too large to be sorted
+    in one Spark task; the result is the same.
     """
     scoped = scope(from_year(logs, min_year), pairs, mode="independent")
-    hot = None if hot_rows is None else hot_keys(scoped, TASK_KEY, hot_rows)
     needed = scoped.select(
         "organization_id", "project_id", "projectname", "batch_details", "labeltaskid",
         "document_id", "stage", "stagename", "stage_type", "rework", "iscompleted",
@@ -71,15 +67,7 @@ def stage_history(
         "blurduration", "number_of_pages",
     )
     newest = latest_by(needed, VERSION_KEY, "updatedat")
-    if hot is not None:
-        # Large tasks are numbered in jobs of their own: write the versions once
-        # instead of picking them again for each.
-        newest = written(newest)
-    # Only listed projects are left, so their list bounds the name table.
-    projects = len({project for _, project in pairs})
-    named = attach_latest_attribute(
-        newest, "project_id", "projectname", "updatedat", max_keys=projects
-    )
+    named = attach_latest_attribute(newest, "project_id", "projectname", "updatedat")
     stages = named.withColumns(
         {
             "batch_name": json_scalar(F.col("batch_details"), "$[0].batch_name"),
@@ -90,7 +78,8 @@ def stage_history(
             "blurduration_sec": ms_to_seconds(F.col("blurduration")),
         }
     ).select(*COLUMNS)
+    day = F.to_date("updatedat_date") if split_days else None
     numbered = number_stages(
-        stages, TASK_KEY, "stagename", "updatedat_date", ["document_id"], hot
+        stages, TASK_KEY, "stagename", "updatedat_date", ["document_id"], day
     )
     return numbered.select(*COLUMNS, "stage_flow", "node_iteration", "is_latest")

@@ -73,11 +73,17 @@ def load(
 ) -> DataFrame:
     """Read ``directory/name`` as parquet, or the catalog table ``name`` without a directory.
 
+    ``schema`` names the columns and types to read; of a catalog table they are
+    picked and cast.
+
     ``min_year`` keeps ``year >= min_year`` in string order; on a table
     partitioned by ``year`` it prunes the directories.
     """
     if directory is None:
         df = spark.table(name)
+        if schema is not None:
+            wanted = spark.createDataFrame([], schema).schema
+            df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in wanted])
     else:
         reader = spark.read if schema is None else spark.read.schema(schema)
         df = reader.parquet(f"{directory}/{name}")
