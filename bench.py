@@ -36,14 +36,14 @@ HEADLINE = [
 ]
 
 PLAIN = {
-    "issue_daily": lambda s, d: D.issue_daily(S.issues(s, d), S.ISSUE_PAIRS, "1995", S.TAGS),
+    "issue_daily": lambda s, d: D.issue_daily(S.issues(s, d), S.ISSUE_PAIRS, S.FIRST_YEAR_LINES, S.TAGS),
     "stage_history": lambda s, d: D.stage_history(
-        S.stage_logs(s, d), S.EVENT_PAIRS, "2024", S.LABELS
+        S.stage_logs(s, d), S.EVENT_PAIRS, S.FIRST_YEAR_EVENTS, S.LABELS
     ),
     "time_per_object": lambda s, d: D.time_per_object(
-        S.time_stats(s, d), S.ONE_PAIR, S.CLASSES, S.TYPES
+        S.time_stats(s, d), S.TIME_PAIRS, S.CLASSES, S.TYPES
     ),
-    "task_rollup": lambda s, d: D.task_rollup(S.task_sessions(s, d), S.ONE_PAIR),
+    "task_rollup": lambda s, d: D.task_rollup(S.task_sessions(s, d), S.TIME_PAIRS),
 }
 
 

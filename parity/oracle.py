@@ -21,6 +21,10 @@ def _values(position: int) -> str:
     return ", ".join(str(v) for v in sorted({pair[position] for pair in S.LINE_PAIRS}))
 
 
+def _texts(pairs: list[tuple], position: int) -> str:
+    return ", ".join(f"'{v}'" for v in sorted({pair[position] for pair in pairs}))
+
+
 STAGES = """
     SELECT event_id, user_id, ts,
            CASE WHEN event_type IN ('click', 'view') THEN 'Audit' ELSE event_type END AS stage
@@ -56,50 +60,63 @@ def _minutes(label: str) -> str:
     return f"round(max(total) * max(share) {one} / max(lines) {one} / 60, 1) AS {label}_tpo"
 
 
+def _tenant(org: str, orgs: int, project: str) -> str:
+    return f"'org-' || ({org} % {orgs}) AS organization_id, 'prj-' || {project} AS project_id"
+
+
 def _issue_daily() -> str:
+    # lines with a fourth number have no codes
     carried = {"flag_a": "l_returnflag = 'A'", "flag_n": "l_returnflag = 'N'",
                "flag_r": "l_returnflag = 'R'"}
     carried |= {f"line_{n}": f"l_linenumber = {n}" for n in range(1, 8)}
     carried |= {"status_f": "l_linestatus = 'F'", "status_o": "l_linestatus = 'O'"}
     carried |= {"absent": "false"}
     conditions = {
-        "open_issues": "l_returnflag = 'A'",
-        "resolved_issues": "l_returnflag = 'R'",
+        "open_issues": "l_returnflag = 'A' AND l_linenumber <> 5",
+        "resolved_issues": "l_returnflag = 'R' AND l_linenumber <> 5",
         "deleted_issues": "l_linenumber = 7",
-    } | carried
+    } | {name: f"l_linenumber <> 4 AND {c}" for name, c in carried.items()}
     counts = ",\n".join(
         f"count(DISTINCT l_suppkey) FILTER (WHERE {c}) AS {name}"
         for name, c in conditions.items()
     )
     return f"""
-        SELECT CAST(l_shipdate + to_seconds(l_orderkey * 5 + 19500) AS DATE) AS updatedat_date,
-               'org-1' AS organization_id, 'prj-' || l_linestatus AS project_id,
+        SELECT CASE WHEN l_linenumber = 6 AND l_orderkey % 7 = 0 THEN NULL
+                    ELSE CAST(l_shipdate + to_seconds(l_orderkey * 5 + 19500) AS DATE) END AS updatedat_date,
+               {_tenant('l_orderkey', 3, 'l_linestatus')},
                'lt-1' AS labeltaskid, count(DISTINCT l_suppkey) AS total_issues, {counts}
-        FROM lineitem GROUP BY 1, 2, 3, 4
+        FROM lineitem
+        WHERE CAST(year(l_shipdate) AS VARCHAR) >= '{S.FIRST_YEAR_LINES}'
+          AND {_in_pairs("'org-' || (l_orderkey % 3), 'prj-' || l_linestatus", S.ISSUE_PAIRS)}
+        GROUP BY 1, 2, 3, 4
     """
 
 
-STAGE_HISTORY = """
+STAGE_HISTORY = f"""
     WITH versions AS (
         SELECT *, json_extract_string(props, '$.k') AS doc, CAST(user_id AS VARCHAR) AS task,
-               CAST(floor(epoch(ts)) AS BIGINT) AS sec
+               CASE WHEN event_id % 13 <> 0 THEN CAST(floor(epoch(ts)) AS BIGINT) END AS sec,
+               CASE WHEN event_id % 17 <> 0 THEN event_type END AS named,
+               'name ' || event_type || ' ' || user_id AS title,
+               {_tenant('user_id', 3, 'left(CAST(user_id AS VARCHAR), 1)')}
         FROM events
+        WHERE CAST(year(ts) - CASE WHEN hour(ts) < 6 THEN 1 ELSE 0 END AS VARCHAR) >= '{S.FIRST_YEAR_EVENTS}'
     ), newest AS (
-        SELECT *, 'prj-' || left(task, 1) AS project_id
+        SELECT *
         FROM versions
+        WHERE organization_id IN ({_texts(S.EVENT_PAIRS, 0)}) AND project_id IN ({_texts(S.EVENT_PAIRS, 1)})
         QUALIFY row_number() OVER (
             PARTITION BY task, doc
-            ORDER BY sec DESC, 'name ' || event_type || ' ' || task DESC, event_type DESC, event_id DESC) = 1
+            ORDER BY sec DESC NULLS LAST, title DESC, event_type DESC, named DESC NULLS LAST,
+                     value > 50 DESC, value > 20 DESC, value < 1 DESC, event_id DESC) = 1
     ), names AS (
-        SELECT project_id,
-               arg_max('name ' || event_type || ' ' || task,
-                       {'sec': sec, 'name': 'name ' || event_type || ' ' || task}) AS projectname
+        SELECT project_id, arg_max(title, {{'sec': sec, 'title': title}}) FILTER (WHERE sec IS NOT NULL) AS projectname
         FROM newest GROUP BY project_id
     ), stages AS (
-        SELECT 'org-1' AS organization_id, project_id, projectname,
+        SELECT organization_id, project_id, projectname,
                'b-' || event_type AS batch_name, task AS labeltaskid, doc AS document_id,
                's-' || event_type AS stage,
-               CASE WHEN event_type IN ('click', 'view') THEN 'Audit' ELSE event_type END AS stagename,
+               CASE WHEN named IN ('click', 'view') THEN 'Audit' ELSE named END AS stagename,
                'manual' AS stage_type, value > 50 AS rework, value > 20 AS iscompleted,
                value < 1 AS isskipped, 'w' || task AS updatedby,
                CAST(make_timestamp((sec + 19500) * 1000000) AS TIMESTAMP) AS updatedat_date,
@@ -111,11 +128,11 @@ STAGE_HISTORY = """
     )
     SELECT *,
            row_number() OVER (PARTITION BY project_id, labeltaskid
-                              ORDER BY updatedat_date, document_id) AS stage_flow,
+                              ORDER BY updatedat_date NULLS LAST, document_id) AS stage_flow,
            row_number() OVER (PARTITION BY project_id, labeltaskid, stagename
-                              ORDER BY updatedat_date, document_id) AS node_iteration,
+                              ORDER BY updatedat_date NULLS LAST, document_id) AS node_iteration,
            CASE WHEN row_number() OVER (PARTITION BY project_id, labeltaskid
-                                        ORDER BY updatedat_date DESC, document_id DESC) = 1
+                                        ORDER BY updatedat_date DESC NULLS LAST, document_id DESC) = 1
                 THEN 'Yes' ELSE 'Other' END AS is_latest
     FROM stages
 """
@@ -129,13 +146,16 @@ LATEST_ATTRIBUTE = """
 
 SCOPED = "SELECT l_orderkey, l_suppkey, l_linenumber, l_quantity FROM lineitem WHERE"
 
-TIME_PER_OBJECT = """
+TIME_PER_OBJECT = f"""
     WITH cells AS (
         SELECT CAST(l_orderkey AS VARCHAR) AS doc, l_linestatus AS kind,
-               CASE l_returnflag WHEN 'R' THEN '' ELSE 'type_' || lower(l_returnflag) END AS class,
+               CASE WHEN l_linenumber = 7 THEN NULL WHEN l_returnflag = 'R' THEN ''
+                    ELSE 'type_' || lower(l_returnflag) END AS class,
                CAST(sum(CAST(l_quantity AS BIGINT) * 1000 + l_linenumber * 10) AS BIGINT) AS ms,
                count(DISTINCT (l_suppkey, l_linenumber)) AS objects
-        FROM lineitem GROUP BY ALL
+        FROM lineitem
+        WHERE {_in_pairs("'org-' || (l_orderkey % 3), 'prj-' || (l_orderkey % 2)", S.TIME_PAIRS)}
+        GROUP BY ALL
     ), durations AS (
         SELECT doc, CAST(round(CAST(CAST(sum(ms) AS BIGINT) AS DECIMAL(21, 3)) * 0.001, 1)
                          AS DECIMAL(21, 1)) AS duration_sec
@@ -149,8 +169,8 @@ TIME_PER_OBJECT = """
         FROM class_rows GROUP BY doc, class
     ), class_maps AS (
         SELECT doc,
-               '{' || string_agg('"' || class || '":' || CAST(share AS VARCHAR), ',' ORDER BY class) || '}' AS class_wise_tpo,
-               '{' || string_agg('"' || class || '":' || CAST(objects AS VARCHAR), ',' ORDER BY class) || '}' AS class_object_count,
+               '{{' || string_agg('"' || class || '":' || CAST(share AS VARCHAR), ',' ORDER BY class) || '}}' AS class_wise_tpo,
+               '{{' || string_agg('"' || class || '":' || CAST(objects AS VARCHAR), ',' ORDER BY class) || '}}' AS class_object_count,
                max(share) FILTER (WHERE class = 'type_a') AS share_a,
                max(objects) FILTER (WHERE class = 'type_a') AS objects_a,
                max(share) FILTER (WHERE class = 'type_n') AS share_n,
@@ -162,15 +182,15 @@ TIME_PER_OBJECT = """
         FROM cells WHERE class <> '' GROUP BY doc, kind
     ), kind_maps AS (
         SELECT doc,
-               '{' || string_agg('"' || kind || '":' || CAST(share AS VARCHAR), ',' ORDER BY kind) || '}' AS object_type_tpo,
-               '{' || string_agg('"' || kind || '":' || CAST(objects AS VARCHAR), ',' ORDER BY kind) || '}' AS object_type_object_count,
+               '{{' || string_agg('"' || kind || '":' || CAST(share AS VARCHAR), ',' ORDER BY kind) || '}}' AS object_type_tpo,
+               '{{' || string_agg('"' || kind || '":' || CAST(objects AS VARCHAR), ',' ORDER BY kind) || '}}' AS object_type_object_count,
                max(share) FILTER (WHERE kind = 'O') AS share_o,
                max(objects) FILTER (WHERE kind = 'O') AS objects_o,
                max(share) FILTER (WHERE kind = 'F') AS share_f,
                max(objects) FILTER (WHERE kind = 'F') AS objects_f
         FROM kinds GROUP BY doc
     )
-    SELECT 'org-1' AS organization_id, 'prj-1' AS project_id, doc AS labeltaskid,
+    SELECT {_tenant('CAST(doc AS BIGINT)', 3, '(CAST(doc AS BIGINT) % 2)')}, doc AS labeltaskid,
            doc AS document_id, object_type_tpo, object_type_object_count, class_wise_tpo,
            class_object_count, duration_sec,
            round(CAST(duration_sec AS DOUBLE) * share_a / objects_a / 60, 1) AS type_a_tpo,
@@ -180,6 +200,15 @@ TIME_PER_OBJECT = """
     FROM class_maps JOIN kind_maps USING (doc) JOIN durations USING (doc)
 """
 
+DISTINCT_WHERE = """
+        SELECT l_suppkey, count(DISTINCT l_orderkey) AS total,
+               count(DISTINCT l_orderkey) FILTER (WHERE l_linestatus = 'O') AS status_o,
+               count(DISTINCT l_orderkey) FILTER (WHERE l_returnflag = 'R') AS flag_r,
+               count(DISTINCT l_orderkey) FILTER (
+                   WHERE l_returnflag = 'A' AND l_shipdate >= DATE '2000-01-01') AS late_a
+        FROM lineitem GROUP BY l_suppkey
+    """
+
 ORACLE: dict[str, str] = {
     "scope_pairs": f"{SCOPED} {_in_pairs('l_suppkey, l_linenumber', S.LINE_PAIRS)}",
     "scope_independent": f"""
@@ -189,13 +218,15 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS VARCHAR) AS year
         FROM orders WHERE CAST(year(o_orderdate) AS VARCHAR) >= '1998'
     """,
-    "classification_extract": """
-        SELECT 'org-1' AS organization_id, 'prj-1' AS project_id,
+    "classification_extract": f"""
+        SELECT {_tenant('user_id', 2, '(event_id % 3)')},
                CAST(user_id AS VARCHAR) AS labeltaskid, CAST(event_id AS VARCHAR) AS document_id,
                'o' || event_id AS objectid, event_type AS title, props AS answer, 'box' AS tool,
                'w' || user_id AS updatedby,
-               make_timestamp((CAST(floor(epoch(ts)) AS BIGINT) + 19500) * 1000000) AS updatedat_date_ist
+               CASE WHEN event_id % 11 <> 0 THEN
+                   make_timestamp((CAST(floor(epoch(ts)) AS BIGINT) + 19500) * 1000000) END AS updatedat_date_ist
         FROM events
+        WHERE {_in_pairs("'org-' || (user_id % 2), 'prj-' || (event_id % 3)", S.ANSWER_PAIRS)}
     """,
     "json_key_list": """
         SELECT event_id,
@@ -210,14 +241,8 @@ ORACLE: dict[str, str] = {
                coalesce(json_extract_string('[' || props || ']', '$[1].k'), 'missing') AS beyond
         FROM events
     """,
-    "distinct_where": """
-        SELECT l_suppkey, count(DISTINCT l_orderkey) AS total,
-               count(DISTINCT l_orderkey) FILTER (WHERE l_linestatus = 'O') AS status_o,
-               count(DISTINCT l_orderkey) FILTER (WHERE l_returnflag = 'R') AS flag_r,
-               count(DISTINCT l_orderkey) FILTER (
-                   WHERE l_returnflag = 'A' AND l_shipdate >= DATE '2000-01-01') AS late_a
-        FROM lineitem GROUP BY l_suppkey
-    """,
+    "distinct_where": DISTINCT_WHERE,
+    "distinct_counts": DISTINCT_WHERE,
     "distinct_by_tag": """
         SELECT l_suppkey, count(DISTINCT l_orderkey) AS total,
                count(DISTINCT CASE WHEN list_contains([l_returnflag, l_linestatus], 'A') THEN l_orderkey END) AS flag_a,
@@ -233,7 +258,16 @@ ORACLE: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
     """,
     "latest_attribute": LATEST_ATTRIBUTE,
-    "latest_attribute_split": LATEST_ATTRIBUTE,
+    "latest_attribute_split": """
+        SELECT event_id, newest.user_id, event_type, ts
+        FROM events JOIN (
+            SELECT event_type, arg_max(user_id, {'ts': ts, 'user_id': user_id}) AS user_id
+            FROM events GROUP BY event_type
+        ) AS newest USING (event_type)
+    """,
+    "latest_attribute_table": """
+        SELECT user_id, arg_max_null(event_type, ts) AS event_type FROM events GROUP BY user_id
+    """,
     "remap_values": f"SELECT stage AS label, count(*) AS n FROM ({STAGES}) GROUP BY stage",
     "ms_to_seconds": """
         SELECT o_orderkey,
@@ -254,18 +288,20 @@ ORACLE: dict[str, str] = {
     "stage_history_split": STAGE_HISTORY,
     "epoch_ms": """
         SELECT event_id, make_timestamp(((ms + 19500) // 1000) * 1000000) AS as_reported,
-               make_timestamp(((ms + 19500000) // 1000) * 1000000) AS local_time,
+               make_timestamp(((ms + 19500000) // 1000) * 1000000) AS in_report_zone,
                CAST(make_timestamp(((ms + 19500000) // 1000) * 1000000) AS DATE) AS local_day
         FROM (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events)
     """,
-    "task_rollup": """
-        SELECT 'org-1' AS organization_id, 'prj-1' AS project_id, l_orderkey || '-x' AS labeltaskid,
+    "task_rollup": f"""
+        SELECT {_tenant('l_suppkey', 3, '(l_orderkey % 2)')}, l_orderkey || '-x' AS labeltaskid,
                l_returnflag AS document_id, 'w' || l_suppkey AS updatedby,
-               min(make_timestamp(((day_ms + l_linenumber * 777 + 19500) // 1000) * 1000000)) AS start_time,
+               min(make_timestamp(((day_ms + l_linenumber * 777 + 19500) // 1000) * 1000000))
+                   FILTER (WHERE l_linenumber <> 6) AS start_time,
                max(make_timestamp(((day_ms + l_linenumber * 77777 + 19500) // 1000) * 1000000)) AS end_time,
-               CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS duration_sec,
+               CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (WHERE l_linenumber <> 5) AS BIGINT) AS duration_sec,
                max(CAST(CAST(l_linenumber AS VARCHAR) AS INTEGER)) AS total_frames
         FROM (SELECT *, epoch_us(l_shipdate) // 1000 AS day_ms FROM lineitem)
+        WHERE {_in_pairs("'org-' || (l_suppkey % 3), 'prj-' || (l_orderkey % 2)", S.TIME_PAIRS)}
         GROUP BY ALL
     """,
     "normalize_label": """

@@ -10,15 +10,12 @@ from pyspark.sql import functions as F
 from worklens import functions as C
 from worklens import operators as O
 from worklens import plans as R
-from worklens.sources import from_year, rename_source
+from worklens.sources import load, rename_source
 
 from . import standins as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Small enough that some groups of the test tables take the spread route.
-SPLIT_ROWS = 60
-
 
 def scope_pairs(spark, sf_dir):
     lines = S.table(spark, sf_dir, "lineitem")
@@ -35,11 +32,13 @@ def scope_independent(spark, sf_dir):
 def min_partition(spark, sf_dir):
     orders = S.table(spark, sf_dir, "orders")
     dated = orders.withColumn("year", F.year("o_orderdate").cast("string"))
-    return from_year(dated, "1998").select("o_orderkey", "o_orderstatus", "year")
+    dated.createOrReplaceTempView("orders_by_year")
+    recent = load(spark, None, "orders_by_year", min_year="1998")
+    return recent.select("o_orderkey", "o_orderstatus", "year")
 
 
 def classification_extract(spark, sf_dir):
-    return R.classification_extract(S.classifications(spark, sf_dir), S.ONE_PAIR)
+    return R.classification_extract(S.classifications(spark, sf_dir), S.ANSWER_PAIRS)
 
 
 def json_key_list(spark, sf_dir):
@@ -61,14 +60,26 @@ def json_scalar(spark, sf_dir):
     )
 
 
-def distinct_where(spark, sf_dir):
-    conditions = {
+def _line_conditions():
+    return {
         "status_o": F.col("l_linestatus") == "O",
         "flag_r": F.col("l_returnflag") == "R",
         "late_a": (F.col("l_returnflag") == "A") & (F.col("l_shipdate") >= "2000-01-01"),
     }
+
+
+def distinct_where(spark, sf_dir):
+    """The aggregate, once per condition."""
+    order = F.col("l_orderkey")
+    conditions = {"total": F.lit(True)} | _line_conditions()
+    counts = [O.distinct_where(order, c).alias(name) for name, c in conditions.items()]
+    return S.table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(*counts)
+
+
+def distinct_counts(spark, sf_dir):
+    """The same counts by one flag per condition and order."""
     lines = S.table(spark, sf_dir, "lineitem")
-    return O.distinct_counts(lines, ["l_suppkey"], "l_orderkey", conditions, "total")
+    return O.distinct_counts(lines, ["l_suppkey"], "l_orderkey", _line_conditions(), "total")
 
 
 def distinct_by_tag(spark, sf_dir):
@@ -95,9 +106,14 @@ def latest_attribute(spark, sf_dir):
 
 
 def latest_attribute_split(spark, sf_dir):
-    """The same without moving the rows of the larger users."""
+    """The same for few, large keys: the newest user of each event type."""
     events = S.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
-    return O.attach_latest_attribute(events, "user_id", "event_type", "ts", hot=SPLIT_ROWS)
+    return O.attach_latest_attribute(events, "event_type", "user_id", "ts")
+
+
+def latest_attribute_table(spark, sf_dir):
+    events = S.table(spark, sf_dir, "events")
+    return O.latest_attribute(events, "user_id", "event_type", "ts")
 
 
 def remap_values(spark, sf_dir):
@@ -138,9 +154,9 @@ def latest_flag(spark, sf_dir):
 
 
 def stage_numbers_split(spark, sf_dir):
-    """All three numbers, the larger users spread over many tasks."""
+    """All three numbers, each user day by day."""
     stages = _stages(spark, sf_dir)
-    return O.number_stages(stages, ["user_id"], "stage", "ts", ["event_id"], SPLIT_ROWS)
+    return O.number_stages(stages, ["user_id"], "stage", "ts", ["event_id"], F.to_date("ts"))
 
 
 def stage_history(spark, sf_dir):
@@ -155,7 +171,7 @@ def stage_history_split(spark, sf_dir):
         S.EVENT_PAIRS,
         S.FIRST_YEAR_EVENTS,
         labels=S.LABELS,
-        hot_rows=SPLIT_ROWS,
+        split_days=True,
     )
 
 
@@ -164,13 +180,13 @@ def epoch_ms(spark, sf_dir):
     return S.table(spark, sf_dir, "events").select(
         "event_id",
         C.epoch_to_local(ms, "ms").alias("as_reported"),
-        C.epoch_to_local(ms, "ms", 19_500_000).alias("local_time"),
+        C.epoch_to_local(ms, "ms", 19_500_000).alias("in_report_zone"),
         C.local_day(C.epoch_to_local(ms, "ms", 19_500_000)).alias("local_day"),
     )
 
 
 def task_rollup(spark, sf_dir):
-    return R.task_rollup(S.task_sessions(spark, sf_dir), S.ONE_PAIR)
+    return R.task_rollup(S.task_sessions(spark, sf_dir), S.TIME_PAIRS)
 
 
 def normalize_label(spark, sf_dir):
@@ -228,16 +244,15 @@ def share_of_total(spark, sf_dir):
 
 
 def share_of_total_split(spark, sf_dir):
-    """Shares per supplier; the suppliers with more rows than most are not shuffled."""
+    """Shares per supplier, of many rows each."""
     lines = _quantities(spark, sf_dir)
-    shares = O.share_of_total(lines, "quantity", ["l_suppkey"], "share", 600)
+    shares = O.share_of_total(lines, "quantity", ["l_suppkey"], "share")
     return shares.withColumn("share_4", C.round_double(F.col("share"), 4))
 
 
 def share_of_type(spark, sf_dir):
     typed = O.regroup(_quantities(spark, sf_dir), ["l_orderkey", "l_linestatus"], ["quantity"])
-    # a few rows per order are left, so no group can be large
-    shares = O.share_of_total(typed, "quantity", ["l_orderkey"], "share", hot=None)
+    shares = O.share_of_total(typed, "quantity", ["l_orderkey"], "share")
     return shares.withColumn("share", C.round_double(F.col("share"), 2))
 
 
@@ -252,7 +267,7 @@ def _order_maps(spark, sf_dir):
         F.lit(1).cast("bigint").alias("lines"),
     )
     cells = O.regroup(O.drop_blank(lines, "label"), ["l_orderkey", "label"], ["quantity", "lines"])
-    shares = O.share_of_total(cells, "quantity", ["l_orderkey"], "share", hot=None)
+    shares = O.share_of_total(cells, "quantity", ["l_orderkey"], "share")
     return shares.groupBy("l_orderkey").agg(
         F.sum("quantity").alias("quantity"),
         O.map_agg(F.col("label"), C.round_double(F.col("share"), 2)).alias("shares"),
@@ -278,7 +293,7 @@ def per_object_minutes(spark, sf_dir):
 
 
 def time_per_object(spark, sf_dir):
-    return R.time_per_object(S.time_stats(spark, sf_dir), S.ONE_PAIR, S.CLASSES, S.TYPES)
+    return R.time_per_object(S.time_stats(spark, sf_dir), S.TIME_PAIRS, S.CLASSES, S.TYPES)
 
 
 QUERIES: dict[str, Query] = {
@@ -291,11 +306,13 @@ QUERIES: dict[str, Query] = {
         json_key_list,
         json_scalar,
         distinct_where,
+        distinct_counts,
         distinct_by_tag,
         issue_daily,
         latest_version,
         latest_attribute,
         latest_attribute_split,
+        latest_attribute_table,
         remap_values,
         ms_to_seconds,
         stage_sequence,
