@@ -210,7 +210,7 @@ def repeats(data: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int
         pivot = starts[member[head]][np.cumsum(np.append(True, group[1:] != group[:-1])) - 1]
         here = starts[member]
         common = known.copy()
-        going = np.arange(len(member))
+        going = np.flatnonzero(common < length)
         while len(going):
             differ = eights[here[going] + common[going]] ^ eights[pivot[going] + common[going]]
             same = differ == 0
