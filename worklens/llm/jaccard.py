@@ -444,8 +444,11 @@ def linked(docs: DataFrame, sets: DataFrame, doc_id: str, text: str, threshold:
     found = saved(spread.mapInArrow(_candidates, _ROW), "jaccard-candidates", keep=False)
     for level in members._worklens_levels:
         drop(level)
-    texts = docs.select(
-        row_key(F.col(doc_id), F.col(text)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")
+    # rows that agree in id and text are one, however many they are
+    texts = (
+        docs.select(row_key(F.col(doc_id), F.col(text)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+        .groupBy("key")
+        .agg(F.first("text").alias("text"))
     )
     whole = found.join(texts, "key").drop("key")
     whole = whole.repartition(parts, "bucket").sortWithinPartitions("bucket", "side", "vertex")

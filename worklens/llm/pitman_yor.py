@@ -85,7 +85,7 @@ def draw_tables(
     ways = stirling(min(EXACT, int(customers[small].max(initial=1))), discount)
     order = small[np.argsort(customers[small], kind="stable")]
     edges = np.flatnonzero(np.diff(customers[order], prepend=-1))
-    for a, b in zip(edges, np.append(edges[1:], len(order)), strict=True):
+    for a, b in zip(edges, [*edges[1:], len(order)], strict=False):
         c = int(customers[order[a]])
         for low in range(a, b, 200_000 // c + 1):
             rows = order[low : min(b, low + 200_000 // c + 1)]
