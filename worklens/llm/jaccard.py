@@ -53,7 +53,12 @@ _PAIRS = 40_000
 
 
 def shingles(column: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
-    """The sorted distinct n-gram hashes of each row."""
+    """The sorted distinct n-gram hashes of each row, of a few megabytes of text at a time."""
+    batch = pa.record_batch([column], names=["text"])
+    return [s for part in slices([batch], "text") for s in _shingles(part.column("text"), width)]
+
+
+def _shingles(column: pa.Array, width: int) -> list[np.ndarray]:
     data, offsets = text_bytes(pc.utf8_lower(filled(column)))
     starts, ends, at = words(data, offsets)
     h = word_hashes(data, starts, ends)

@@ -32,6 +32,9 @@ SEQUENCE = 4096
 STEP = 16
 #: Patterns priced at most; the program's solution so far covers everything anyhow.
 ROUNDS = 3000
+#: Worth of the best pattern beyond a sequence that is let be. The solution is
+#: then at most so much above the program's optimum, as a share of it.
+TOLERANCE = 1e-4
 
 
 def best_pattern(price: np.ndarray, capacity: int) -> np.ndarray:
@@ -71,7 +74,7 @@ def solve(demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple
         price = np.zeros(len(demand))
         price[used] = np.maximum(inverse.sum(axis=0), 0)
         column = best_pattern(price, capacity)[used].astype(float)
-        if price[used] @ column <= 1 + 1e-7:
+        if price[used] @ column <= 1 + TOLERANCE:
             break
         step = inverse @ column
         rows = np.flatnonzero(step > 1e-9)
