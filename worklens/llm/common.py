@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes worked on at once in a task; bounds the memory of the numpy arrays.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 _LEFT: list[tuple[SparkSession, str]] = []
 
