@@ -36,6 +36,8 @@ LEAST_DOCS = 5
 LEAST_CHI2 = 20.0
 #: Probability of being bad from which a document is rejected.
 REJECT = 0.5
+#: Surface features of a text.
+SURFACE = 7
 #: Weight of the penalty on coefficients.
 RIDGE = 1.0
 
@@ -73,7 +75,7 @@ def features(column: pa.Array):
     starts, ends, at = words(data, offsets, SPACE)
     n = np.diff(at)
     if not len(data):
-        return np.zeros((len(n), 7)), np.zeros(0, np.int64), at
+        return np.zeros((len(n), SURFACE)), np.zeros(0, np.int64), at
     lower = LOWER[data]
     exact = word_hashes(lower, starts, ends)
     first, last = starts.copy(), ends.copy()
@@ -189,12 +191,12 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int =
     small = rows.mapInArrow(reduced, rows.schema).toArrow()
     drop(rows)
     n = small.num_rows
-    surface = np.array(small["surface"].to_pylist(), float).reshape(n, -1)
+    surface = np.array(small["surface"].to_pylist(), float).reshape(n, SURFACE)
     x = np.zeros((n, surface.shape[1] + len(chosen_words)), np.float64)
     x[:, : surface.shape[1]] = surface
     for i, at in enumerate(small["words"].to_pylist()):
         x[i, surface.shape[1] + np.array(at, int)] = 1
-    wide = 7
+    wide = SURFACE
     heads = []
     for name in ("low", "toxic"):
         y = np.array([bool(v) for v in small[name].to_pylist()], float)
