@@ -152,3 +152,33 @@ def task_rollup(tasks, pairs) -> DataFrame:
         F.sum("active_time").alias("duration_sec"),
         F.max("frames").alias("total_frames"),
     )
+
+
+def classification_extract(answers, pairs) -> DataFrame:
+    tenants = reduce(
+        lambda a, b: a | b,
+        [(F.col("organization_id") == o) & (F.col("project_id") == p) for o, p in pairs],
+    )
+    local = C.epoch_to_local(F.col("updatedat")).alias("updatedat_date_ist")
+    kept = answers.where(tenants)
+    return kept.select(*[c for c in kept.columns if c != "updatedat"], local)
+
+
+def latest_version(events) -> DataFrame:
+    newest = F.max(F.struct("ts", "event_id", "value", "props")).alias("_row")
+    return events.groupBy("user_id", "event_type").agg(newest).select("user_id", "event_type", "_row.*")
+
+
+def distinct_by_tag(lines, tags) -> DataFrame:
+    order = F.col("l_orderkey")
+    carried = F.array("l_returnflag", "l_linestatus")
+    return lines.groupBy("l_suppkey").agg(
+        F.count_distinct(order).alias("total"),
+        *[distinct_where(order, F.array_contains(carried, tag)).alias(n) for n, tag in tags.items()],
+    )
+
+
+def share_of_total(lines) -> DataFrame:
+    total = F.sum("quantity").over(Window.partitionBy("l_orderkey")).cast("double")
+    share = F.try_divide(F.col("quantity").cast("double"), total)
+    return lines.withColumn("share", share).withColumn("share_2", C.round_double(F.col("share"), 2))

@@ -82,11 +82,13 @@ def distinct_counts(spark, sf_dir):
     return O.distinct_counts(lines, ["l_suppkey"], "l_orderkey", _line_conditions(), "total")
 
 
+LINE_TAGS = {"flag_a": "A", "flag_n": "N", "flag_r": "R", "status_o": "O", "absent": "X"}
+
+
 def distinct_by_tag(spark, sf_dir):
     tags = F.array("l_returnflag", "l_linestatus")
     lines = S.table(spark, sf_dir, "lineitem").withColumn("tags", tags)
-    named = {"flag_a": "A", "flag_n": "N", "flag_r": "R", "status_o": "O", "absent": "X"}
-    return O.distinct_by_tag(lines, ["l_suppkey"], "l_orderkey", "tags", named, "total")
+    return O.distinct_by_tag(lines, ["l_suppkey"], "l_orderkey", "tags", LINE_TAGS, "total")
 
 
 def issue_daily(spark, sf_dir):
@@ -218,7 +220,7 @@ def distinct_composite(spark, sf_dir):
     return lines.groupBy("l_orderkey").agg(objects.alias("objects"))
 
 
-def _quantities(spark, sf_dir):
+def quantities(spark, sf_dir):
     return S.table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
@@ -230,7 +232,7 @@ def _quantities(spark, sf_dir):
 
 
 def regroup(spark, sf_dir):
-    lines = _quantities(spark, sf_dir).withColumn("lines", F.lit(1).cast("bigint"))
+    lines = quantities(spark, sf_dir).withColumn("lines", F.lit(1).cast("bigint"))
     sums = ["quantity", "lines"]
     cells = ["l_orderkey", "l_returnflag", "l_linestatus"]
     by_worker = O.regroup(lines, [*cells, "l_suppkey"], sums)
@@ -239,26 +241,26 @@ def regroup(spark, sf_dir):
 
 
 def share_of_total(spark, sf_dir):
-    shares = O.share_of_total(_quantities(spark, sf_dir), "quantity", ["l_orderkey"], "share")
+    shares = O.share_of_total(quantities(spark, sf_dir), "quantity", ["l_orderkey"], "share")
     return shares.withColumn("share_2", C.round_double(F.col("share"), 2))
 
 
 def share_of_total_split(spark, sf_dir):
     """Shares per supplier, of many rows each."""
-    lines = _quantities(spark, sf_dir)
+    lines = quantities(spark, sf_dir)
     shares = O.share_of_total(lines, "quantity", ["l_suppkey"], "share")
     return shares.withColumn("share_4", C.round_double(F.col("share"), 4))
 
 
 def share_of_type(spark, sf_dir):
-    typed = O.regroup(_quantities(spark, sf_dir), ["l_orderkey", "l_linestatus"], ["quantity"])
+    typed = O.regroup(quantities(spark, sf_dir), ["l_orderkey", "l_linestatus"], ["quantity"])
     shares = O.share_of_total(typed, "quantity", ["l_orderkey"], "share")
     return shares.withColumn("share", C.round_double(F.col("share"), 2))
 
 
 def _order_maps(spark, sf_dir):
     """Per order: share and line count by flag, as maps; 'R' lines are unlabelled."""
-    lines = _quantities(spark, sf_dir).select(
+    lines = quantities(spark, sf_dir).select(
         "l_orderkey",
         F.when(F.col("l_returnflag") == "R", "")
         .otherwise(F.lower("l_returnflag"))
