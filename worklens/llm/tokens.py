@@ -20,6 +20,8 @@ from .common import byte_set, text_bytes
 
 #: Text bytes encoded at once.
 ENCODE_BYTES = 12_000_000
+#: Pieces handed to the tokenizer at once.
+ENCODE_PIECES = 10_000
 #: Pieces whose ids a worker keeps; beyond, it starts anew.
 KEPT_PIECES = 1_500_000
 
@@ -70,10 +72,7 @@ class Encoder:
         place = pc.index_in(pieces, value_set=self.known)
         if place.null_count:
             new = pieces.filter(pc.is_null(place))
-            found = self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)
-            ids = [e.ids for e in found]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            more = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
+            sizes, more = self._encoded(new)
             fresh = np.arange(len(self.known), len(self.known) + len(new))
             self.known = pa.concat_arrays([self.known, new])
             self.ids = np.concatenate([self.ids, more])
@@ -83,6 +82,16 @@ class Encoder:
             return at
         return place.to_numpy().astype(np.int64)
 
+    def _encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids, and the ids end to end; some pieces at a time, as their encodings are large."""
+        sizes, flat = [], []
+        for k in range(0, len(pieces), ENCODE_PIECES):
+            part = pieces.slice(k, ENCODE_PIECES).to_pylist()
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter((i for x in ids for i in x), np.uint32, int(sizes[-1].sum())))
+        return np.concatenate(sizes), np.concatenate(flat)
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = text_bytes(column)
         starts = piece_starts(data, offsets)
