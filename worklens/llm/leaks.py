@@ -3,8 +3,8 @@
 A seed is a window of tokens of which a fixed mask reads some and ignores the
 rest, so a passage whose words were replaced here and there still shares seeds
 with its source. Benchmark and training seeds meet by hash; around each hit the
-two token sequences are laid side by side, and an overlap counts if enough of
-its tokens agree.
+two token sequences are laid side by side, and the longest interval with the hit
+counts if enough of its tokens agree.
 
 The benchmark is the stated query set. It is taken in blocks of at most
 ``BLOCK_TOKENS`` tokens, so what is broadcast has a fixed bound whatever its
@@ -13,6 +13,8 @@ size; every block meets all documents where they lie, without a shuffle.
 Tokens are the lower-cased runs of letters and digits. An overlap has at least
 ``LEAST`` tokens between its first and last agreeing token, or all of a shorter
 item, and agrees in ``SHARE`` of them. Items of fewer than 8 tokens say nothing.
+An interval is sought up to ``REACH`` tokens from a hit; longer overlaps are the union
+of their hits' intervals.
 Null text counts as empty, empty texts neither leak nor are leaked; an empty
 benchmark or table gives no findings. Rows of one id and text are one finding.
 """
@@ -53,6 +55,7 @@ class Block:
     bits: tuple[np.ndarray, ...]  # which low bits of a hash occur
     owners: np.ndarray  # items that share a place's surroundings, end to end
     owned: np.ndarray  # their offsets by place
+    sets: np.ndarray  # a hash of a place's owners
     ids: list
 
 
@@ -111,6 +114,8 @@ def prepare(ids: list, texts: list[str]) -> Block | None:
     source = np.array([i for i, _, _ in cut])[item_of]
     rank = np.arange(len(order)) - np.flatnonzero(new)[group]
     owners[owned[first][group] + rank] = source[order]
+    sets = np.zeros(len(tokens), np.uint64)
+    np.add.at(sets, lead, mixed(source.astype(np.uint64) + np.uint64(1)))
     hashes, places, bits = [], [], []
     width = np.uint64((1 << int(np.ceil(np.log2(16 * len(tokens) + 16)))) - 1)
     for mask in MASKS:
@@ -124,7 +129,7 @@ def prepare(ids: list, texts: list[str]) -> Block | None:
         found = np.zeros(int(width) + 1, bool)
         found[h & width] = True
         bits.append(found)
-    return Block(tokens, bounds, item_of, tuple(hashes), tuple(places), tuple(bits), owners, owned, ids)
+    return Block(tokens, bounds, item_of, tuple(hashes), tuple(places), tuple(bits), owners, owned, sets, ids)
 
 
 def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[Block]:
@@ -160,10 +165,13 @@ def overlaps(tokens: np.ndarray, at: np.ndarray, block: Block):
     i, j = np.concatenate(mine), np.concatenate(theirs)
     if not len(i):
         return none, none, none, none
-    # One hit per stretch of a diagonal is enough: a hit reaches both ways.
-    _, pick = np.unique(
-        np.column_stack([i - j, i // 16, block.item_of[j]]), axis=0, return_index=True
-    )
+    # Hits that start side by side on a diagonal lie in one run of agreeing tokens, which any
+    # longest interval holds as a whole; a long run is taken up again, as a hit reaches so far only.
+    order = np.lexsort((i, block.item_of[j], i - j))
+    i, j = i[order], j[order]
+    same = (np.diff(i - j) == 0) & (np.diff(block.item_of[j]) == 0) & (np.diff(i) <= 1)
+    same &= (np.diff(i // 16) == 0) & (block.sets[j[1:]] == block.sets[j[:-1]])
+    pick = np.flatnonzero(np.append(True, ~same))
     results = []
     for part in np.array_split(pick, len(pick) // 20_000 + 1):
         results.append(_verified(tokens, at, block, i[part], j[part]))
@@ -171,32 +179,38 @@ def overlaps(tokens: np.ndarray, at: np.ndarray, block: Block):
 
 
 def _verified(tokens, at, block, i, j):
+    """The longest interval around each hit that agrees in ``SHARE``, if it is long enough."""
     row = np.searchsorted(at, i, "right") - 1
     item = block.item_of[j]
     left = np.minimum(np.minimum(i - at[row], j - block.bounds[item]), REACH)
-    right = np.minimum(np.minimum(at[row + 1] - i, block.bounds[item + 1] - j), REACH + 16)
-    # The mismatch is priced so that a sum of zero is just the least share.
-    price = -SHARE / (1 - SHARE)
+    right = np.minimum(np.minimum(at[row + 1] - i, block.bounds[item + 1] - j), REACH + len(MASKS[-1]))
 
-    def extent(steps: np.ndarray, sign: int, most: int):
-        """How far to go for the highest score, and the agreeing tokens on the way."""
+    def scores(steps: np.ndarray, sign: int, most: int) -> np.ndarray:
+        """By tokens gone: the best sum of (agree - SHARE) at an agreeing token there or beyond."""
         k = np.arange(most)
         ok = k < steps[:, None]
         a = np.clip(i[:, None] + (k if sign > 0 else -1 - k), 0, len(tokens) - 1)
         b = np.clip(j[:, None] + (k if sign > 0 else -1 - k), 0, len(block.tokens) - 1)
         same = ok & (tokens[a] == block.tokens[b])
-        score = np.cumsum(np.where(ok, np.where(same, 1.0, price), -1e9), axis=1)
-        best = score.argmax(axis=1)
-        reach = np.where(score[np.arange(len(best)), best] > 0, best + 1, 0)
-        total = np.cumsum(same, axis=1)
-        return reach, np.where(reach > 0, total[np.arange(len(best)), np.maximum(reach - 1, 0)], 0)
-
-    ahead, agree_ahead = extent(right, 1, REACH + 16)
-    behind, agree_behind = extent(left, -1, REACH)
-    length, agree = ahead + behind, agree_ahead + agree_behind
+        score = np.where(same, np.cumsum(same - SHARE, axis=1), -np.inf)
+        score = np.column_stack([np.zeros(len(i)), score])
+        return np.maximum.accumulate(score[:, ::-1], axis=1)[:, ::-1]
+
+    ahead, behind = scores(right, 1, REACH + len(MASKS[-1])), scores(left, -1, REACH)
+    # Neither rises with the distance: going on behind wherever the sum allows it, and else
+    # coming back ahead, passes the longest pair.
+    every = np.arange(len(i))
+    back, on = np.zeros(len(i), np.int64), right.copy()
+    first, last = np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)
+    for _ in range(ahead.shape[1] + behind.shape[1]):
+        fits = behind[every, back] + ahead[every, on] >= 0
+        better = fits & (back + on > first + last) & (on > 0)
+        first, last = np.where(better, back, first), np.where(better, on, last)
+        more = fits & (back < left)
+        back, on = back + more, np.where(more, on, np.maximum(on - 1, 0))
     need = np.minimum(LEAST, block.bounds[item + 1] - block.bounds[item])
-    good = (length >= need) & (agree >= SHARE * length)
-    return row[good], (i - behind)[good], (i + ahead)[good], j[good]
+    good = first + last >= need
+    return row[good], (i - first)[good], (i + last)[good], j[good]
 
 
 _FOUND = "doc_id bigint, blob binary, items array<bigint>, spans array<struct<start:bigint,end:bigint>>, n_tokens bigint"
