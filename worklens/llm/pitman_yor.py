@@ -1,22 +1,28 @@
 """Language-model scores from a hierarchical Pitman-Yor model.
 
-Words sit in a restaurant whose base distribution spells them: a letter follows
+A word follows the word before it in one restaurant per previous word, whose parent is
+the restaurant of all words. That one's base distribution spells words: a letter follows
 its last three letters in one restaurant per context, whose parent is the
 restaurant of the last two, and so on to one letter, none, and all bytes alike.
 A text's tokens are words of the training texts or unknown: all others are one
-event, which has what a new table gives to spellings outside the vocabulary.
+event, which has what a new table gives to spellings outside the vocabulary. A text's
+first word follows its start. Whether a text ends before a token is a choice apart, the
+same behind each word; its base probability is the spelling without letters.
 
-Seating is sampled by Gibbs. A word's customers are its occurrences in training
-texts; given the probability of its spelling and the tables of the others, the
+Seating is sampled by Gibbs. A pair's customers are its occurrences in training
+texts; given the word's probability in the parent and the tables of the others, the
 number of its tables is drawn as a block from its conditional distribution. Each
-table sends the word's letters as customers to the context restaurants, whose
+table sends a customer to the restaurant of all words, where tables are drawn likewise
+and send the word's letters as customers to the context restaurants, whose
 tables send customers to their parents in turn. After ``BURN`` sweeps, the
 predictive probabilities of ``KEPT`` sweeps are averaged.
 
-Spark does the work on words. Texts are read once, in slices: a slice's distinct
-words go to the partition of their hash with their counts, where the corpus's
-table of words is merged, seated, and from where each slice gets its words'
-counts and probabilities back. So what is moved is per slice and distinct word, a
+Spark does the work on words and pairs. Texts are read once, in slices: a slice's distinct
+words go to the partition of their hash with their counts, its distinct pairs to that of
+the previous word's hash. There the corpus's tables are merged and seated; in each sweep
+the pairs' partitions send tables by word to the words' partitions and get the words'
+probabilities back, and in the end each slice gets those of its pairs. So what is moved
+is per slice and distinct word or pair, a
 frequent word cannot crowd a partition, and texts do not move. Only the letters'
 restaurants are gathered and broadcast: three letters of ``CONTEXTS`` contexts at most,
 those with most customers, and two letters or less, which byte pairs bound.
@@ -43,7 +49,9 @@ from .token_files import pack, unpack
 SWEEPS, BURN = 3, 1
 KEPT = SWEEPS - BURN
 #: Text bytes whose distinct words are sent together.
-SLICE = 12_000_000
+SLICE = 6_000_000
+#: Buckets of pairs for each of words: a task holds one bucket at a time.
+FINER = 4
 #: Contexts of three letters that get a restaurant of their own.
 CONTEXTS = 65_536
 #: Customers of a dish up to which the conditional is summed exactly.
@@ -214,18 +222,19 @@ def spelled(letters: Letters, cells: np.ndarray, at: np.ndarray) -> np.ndarray:
 # --- words ------------------------------------------------------------------------
 
 _DOCS = "slice bigint, doc_ids array<bigint>, held array<boolean>, tokens array<bigint>, control binary, data binary"
-_ASKED = "slice bigint, bucket int, words binary, sizes binary, counts binary"
+_ASKED = "slice bigint, bucket int, contexts binary, words binary, sizes binary, counts binary"
 
 
 def _read(buckets: int):
-    """Map function: a slice's texts as codes of its distinct words, and per bucket those words.
+    """Map function: a slice's texts as codes of its distinct pairs, and per bucket its words and pairs.
 
-    Codes follow the bucket, then the hash; ``doc_ids`` is null in the rows of words.
+    Codes follow the bucket of the previous word, its hash, then the word's. ``doc_ids`` is null
+    in the rows of words and pairs, ``contexts`` in those of words. A pair's row holds its
+    previous words' hashes, how many words follow each, and their hashes.
     """
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        names = ["slice", "doc_ids", "held", "tokens", "control", "data", "bucket", "words", "sizes", "counts"]
         for number, batch in enumerate(slices(batches, "text", SLICE)):
             name = part << 32 | number
             data, offsets = text_bytes(batch.column("text"))
@@ -233,49 +242,61 @@ def _read(buckets: int):
             starts, ends, at = words(data, offsets, SPACE)
             n = np.diff(at) + 1
             held = batch.column("held").to_numpy(zero_copy_only=False)
-            # the end is the word without letters, behind each text's last
+            # the end is the word without letters, behind each text's last; it is the start as well
             hashes = np.insert(word_hashes(data, starts, ends), at[1:], _END)
             starts, ends = np.insert(starts, at[1:], 0), np.insert(ends, at[1:], 0)
             distinct, first, code = np.unique(hashes, return_index=True, return_inverse=True)
+            train = np.repeat(~held, n)
             bucket = (distinct % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
-            train = np.bincount(place[code], np.repeat(~held, n), len(distinct)).astype(np.uint32)
-            starts, ends = starts[first][order], ends[first][order]
-            # frequent words first, so that the codes of a text are short
-            often = np.argsort(-np.bincount(place[code], minlength=len(distinct)), kind="stable")
-            rank = np.empty(len(often), np.uint32)
-            rank[often] = np.arange(len(often), dtype=np.uint32)
-            control, packed = pack(rank[place[code]])
-            order_control, order_data = pack(often.astype(np.uint32))
+            count = np.bincount(code, train, len(distinct)).astype("<u4")[order]
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            size = ends - starts
-            flat = _gathered(data, starts, size)
+            size = (ends - starts)[first][order]
+            flat = _gathered(data, starts[first][order], size)
             till = np.append(0, np.cumsum(size))
-            some = np.flatnonzero(np.diff(edges))
-            none = len(some)
+
+            before = np.empty(len(code), np.int64)
+            before[1:] = code[:-1]
+            before[np.cumsum(n) - n] = np.searchsorted(distinct, _END)
+            inner = np.ones(len(code), bool)
+            inner[np.cumsum(n) - 1] = False
+            bucket = (distinct % np.uint64(FINER * buckets)).astype(np.int64)
+            behind = np.argsort(bucket, kind="stable")
+            place = np.empty(len(behind), np.int64)
+            place[behind] = np.arange(len(behind))
+            pairs, pair = np.unique(place[before[inner]] * len(distinct) + code[inner], return_inverse=True)
+            often = np.bincount(pair, train[inner], len(pairs)).astype("<u4")
+            u, w = pairs // len(distinct), distinct[pairs % len(distinct)].astype("<u8")
+            control, packed = pack(pair.astype(np.uint32))
+            parts = np.searchsorted(u, np.searchsorted(bucket[behind], np.arange(FINER * buckets + 1)))
+            out = [(name, batch.column("doc_id").to_pylist(), held.tolist(), n.tolist(), control, packed, *[None] * 5)]
+            for b in range(buckets):
+                lo, hi = edges[b], edges[b + 1]
+                if lo < hi:
+                    out.append((
+                        name, *[None] * 5, b, None, flat[till[lo] : till[hi]].tobytes(),
+                        size[lo:hi].astype("<u4").tobytes(), count[lo:hi].tobytes(),
+                    ))
+            for b in range(FINER * buckets):
+                lo, hi = parts[b], parts[b + 1]
+                if lo < hi:
+                    mine, many = np.unique(u[lo:hi], return_counts=True)
+                    out.append((
+                        name, *[None] * 5, b, distinct[behind][mine].astype("<u8").tobytes(), w[lo:hi].tobytes(),
+                        many.astype("<u4").tobytes(), often[lo:hi].tobytes(),
+                    ))
             yield pa.record_batch(
-                [
-                    pa.array([name] * (none + 1)),
-                    pa.array([batch.column("doc_id").to_pylist(), *[None] * none], pa.list_(pa.int64())),
-                    pa.array([held.tolist(), *[None] * none], pa.list_(pa.bool_())),
-                    pa.array([n.tolist(), *[None] * none], pa.list_(pa.int64())),
-                    pa.array([control, *[None] * none], pa.binary()),
-                    pa.array([packed, *[None] * none], pa.binary()),
-                    pa.array([None, *some.tolist()], pa.int32()),
-                    pa.array(
-                        [order_data, *(flat[till[edges[b]] : till[edges[b + 1]]].tobytes() for b in some)], pa.binary()
-                    ),
-                    pa.array([order_control, *(size[edges[b] : edges[b + 1]].astype("<u4").tobytes() for b in some)], pa.binary()),
-                    pa.array([None, *(train[edges[b] : edges[b + 1]].astype("<u4").tobytes() for b in some)], pa.binary()),
-                ],
-                names=names,
+                [pa.array(c, t) for c, t in zip(zip(*out, strict=True), _READ.values(), strict=True)], names=list(_READ)
             )
 
     return read
 
 
+_READ = {
+    "slice": pa.int64(), "doc_ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "tokens": pa.list_(pa.int64()),
+    "control": pa.binary(), "data": pa.binary(), "bucket": pa.int32(), "contexts": pa.binary(),
+    "words": pa.binary(), "sizes": pa.binary(), "counts": pa.binary(),
+}
 _END = np.uint64(0)  # the hash of no bytes
 
 
@@ -320,8 +341,7 @@ def _merged(table: pa.Table) -> pa.Table:
             "counts": pa.array([count.tobytes()], pa.binary()),
             "n": pa.array([int(count.sum())]),
             "v": pa.array([int((count > 0).sum())]),
-            "once": pa.array([int((count == 1).sum())]),
-            "twice": pa.array([int((count == 2).sum())]),
+            "ends": pa.array([int(count[size[first] == 0].sum())]),
         }
     )
 
@@ -336,110 +356,268 @@ class Sweep:
     discount: float
 
 
-def _seated(row: dict, sweep: Sweep):
-    """Counts, tables and spelling of a bucket's words; the same draw whenever it is repeated."""
+_NO_LETTERS = np.array([_GAP << 24 | _GAP << 16 | _GAP << 8 | _GAP])
+
+
+def _base(row: dict, letters: Letters) -> np.ndarray:
+    """Logarithm of how probable the bucket's words are by their letters, among words with any."""
+    cells, at = _cells(row)
+    return spelled(letters, cells, at) - np.log1p(-letters.probability(_NO_LETTERS)[0])
+
+
+def _cells(row: dict) -> tuple[np.ndarray, np.ndarray]:
     size = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
     data, ends = np.frombuffer(row["words"], np.uint8), np.cumsum(size)
-    count = np.frombuffer(row["counts"], "<i8")
-    cells, at = spelling(data, ends - size, ends)
-    if sweep.letters is None:
-        return count, np.minimum(count, 1), cells, at
-    rng = np.random.default_rng([sweep.number, row["bucket"]])
-    base = spelled(sweep.letters, cells, at)
-    weight = np.full(len(count), STRENGTH + sweep.discount * sweep.tables)
-    return count, draw_tables(count, base, weight, sweep.discount, rng), cells, at
-
-
-def _letter_counts(sweep_ref):
-    def seat(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                _, tables, cells, at = _seated(row, sweep_ref.value)
-                distinct, n = _summed(cells, np.repeat(tables, np.diff(at)))
-                distinct, n = distinct[n > 0], n[n > 0]
-                yield pa.record_batch(
-                    [
-                        pa.array(np.append(distinct, -1)),  # beside the cells, the sum of the tables
-                        pa.array(np.append(n, tables.sum())),
-                    ],
-                    names=["cell", "n"],
-                )
+    return spelling(data, ends - size, ends)
+
+
+_WORDS = "bucket int, words binary, sizes binary, counts binary, customers binary, tables binary, n_customers bigint, n_tables bigint, once bigint, twice bigint"
+
+
+def _seated(sweep_ref):
+    """Cogroup function: a bucket's words with the customers that pairs send, and their tables."""
+
+    def seat(known: pa.Table, sent: pa.Table) -> pa.Table:
+        (row,), sweep = known.to_pylist(), sweep_ref.value
+        h, _, size = _hashes(row)
+        count = np.frombuffer(row["counts"], "<i8")
+        customers = np.zeros(len(h), np.int64)
+        for message in _rows_of(sent):
+            at = np.searchsorted(h, np.frombuffer(message["words"], "<u8"))
+            customers[at] += np.frombuffer(message["n"], "<u4")
+        if sweep.letters is None:
+            tables = np.minimum(customers, 1)
+        else:
+            rng = np.random.default_rng([sweep.number, row["bucket"]])
+            weight = np.full(len(h), STRENGTH + sweep.discount * sweep.tables)
+            tables = draw_tables(customers, _base(row, sweep.letters), weight, sweep.discount, rng)
+        inner = tables.sum()
+        tables = np.where(size > 0, tables, np.minimum(count, 1))  # the end sends its letter once
+        return pa.table(
+            {
+                **{k: known.column(k) for k in ("bucket", "words", "sizes", "counts")},
+                "customers": pa.array([customers.astype("<i8").tobytes()], pa.binary()),
+                "tables": pa.array([tables.astype("<i8").tobytes()], pa.binary()),
+                "n_customers": pa.array([int(customers.sum())]),
+                "n_tables": pa.array([int(inner)]),
+                "once": pa.array([int((customers == 1).sum())]),
+                "twice": pa.array([int((customers == 2).sum())]),
+            }
+        )
 
     return seat
 
 
-def _known_mass(sweeps_ref):
-    """For each kept sweep how probable the spellings of the bucket's training words are."""
+def _letter_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            cells, at = _cells(row)
+            distinct, n = _summed(cells, np.repeat(np.frombuffer(row["tables"], "<i8"), np.diff(at)))
+            yield pa.record_batch([pa.array(distinct[n > 0]), pa.array(n[n > 0])], names=["cell", "n"])
+
+
+def _known_mass(letters_ref):
+    """How probable the spellings of the bucket's training words are."""
 
     def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                count, _, cells, at = _seated(row, Sweep(0, None, 0, 0.0))
-                mass = [np.exp(spelled(letters, cells, at))[count > 0].sum() for _, letters, _ in sweeps_ref.value]
-                yield pa.record_batch([pa.array(range(len(mass)), pa.int32()), pa.array(mass)], names=["kept", "mass"])
+                trained = (np.frombuffer(row["counts"], "<i8") > 0) & (np.frombuffer(row["sizes"], "<u4") > 0)
+                yield pa.record_batch([pa.array([np.exp(_base(row, letters_ref.value))[trained].sum()])], names=["mass"])
 
     return weigh
 
 
-def _answered(sweeps_ref, total: int, unknown: float):
-    """Cogroup function: for each slice the counts and probabilities of its words of a bucket."""
+def _answered(sweep_ref, customers: int, unknown: float):
+    """Cogroup function: to each bucket of pairs, counts and probabilities of the words it asks for."""
 
-    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        row = known.to_pylist()[0]
+    def answer(known: pa.Table, asked: pa.Table) -> pa.Table:
+        (row,), sweep = known.to_pylist(), sweep_ref.value
         h, _, _ = _hashes(row)
-        count = np.frombuffer(row["counts"], "<i8")
-        p = np.zeros(len(count))
-        sweeps = sweeps_ref.value
-        for sweep, letters, tables in sweeps:
-            _, t, cells, at = _seated(row, sweep)
-            weight = STRENGTH + sweep.discount * tables
-            p += (count - sweep.discount * t + weight * np.exp(spelled(letters, cells, at))) / (STRENGTH + total)
-        score = np.log10(np.where(count > 0, p / len(sweeps), unknown))
-        slices_, counts, scores = [], [], []
+        count, c, t = (np.frombuffer(row[k], "<i8") for k in ("counts", "customers", "tables"))
+        weight = STRENGTH + sweep.discount * sweep.tables
+        p = (c - sweep.discount * t + weight * np.exp(_base(row, sweep.letters))) / (STRENGTH + customers)
+        p = np.where(count > 0, p, unknown)
+        out = []
         for ask in _rows_of(asked):
-            wanted, _, _ = _hashes(ask)
-            at = np.searchsorted(h, wanted)
-            slices_.append(ask["slice"])
-            counts.append(count[at].astype("<i8").tobytes())
-            scores.append(score[at].astype("<f8").tobytes())
+            at = np.searchsorted(h, np.frombuffer(ask["words"], "<u8"))
+            out.append((ask["bucket"], row["bucket"], count[at].astype("<i8").tobytes(), p[at].astype("<f8").tobytes()))
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        columns = zip(*out, strict=True) if out else [[]] * 4
         return pa.table(
-            {
-                "slice": pa.array(slices_, pa.int64()),
-                "bucket": pa.array([row["bucket"]] * len(slices_), pa.int32()),
-                "counts": pa.array(counts, pa.binary()),
-                "scores": pa.array(scores, pa.binary()),
-            }
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["bucket", "to", "word_counts", "p"]
         )
 
     return answer
 
 
-def _scored(total: int, kinds: int):
-    """Cogroup function: the scores of a slice's documents from its words' answers."""
+# --- pairs ------------------------------------------------------------------------
+
+#: Rows of pairs, and (``to`` is not null) what they send to the words' bucket ``to``.
+_PAIRS = (
+    "bucket int, contexts binary, sizes binary, vocabulary binary, cells binary, counts binary, tables array<binary>, "
+    "p array<binary>, word_counts binary, once bigint, twice bigint, to int, words binary, n binary"
+)
+_PAIR_TYPES = {
+    "bucket": pa.int32(), "contexts": pa.binary(), "sizes": pa.binary(), "vocabulary": pa.binary(), "cells": pa.binary(),
+    "counts": pa.binary(), "tables": pa.list_(pa.binary()), "p": pa.list_(pa.binary()), "word_counts": pa.binary(),
+    "once": pa.int64(), "twice": pa.int64(), "to": pa.int32(), "words": pa.binary(), "n": pa.binary(),
+}
+
+
+def _pair_rows(row: dict, tables: np.ndarray | None, buckets: int) -> pa.Table:
+    """A bucket's row of pairs and, given the tables of its cells, their sums by word for the words' buckets."""
+    out = [row]
+    if tables is not None:
+        vocabulary = np.frombuffer(row["vocabulary"], "<u8")
+        n = np.bincount(np.frombuffer(row["cells"], "<u4"), tables, len(vocabulary)).astype("<u4")
+        edges = np.searchsorted(vocabulary % np.uint64(buckets), np.arange(buckets + 1))
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            part = slice(edges[b], edges[b + 1])
+            out.append({"bucket": row["bucket"], "to": b, "words": vocabulary[part].tobytes(), "n": n[part].tobytes()})
+    return pa.table({k: pa.array([r.get(k) for r in out], t) for k, t in _PAIR_TYPES.items()})
+
+
+def _paired(buckets: int):
+    """Group function: the training pairs of a bucket once each, at a table each."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        before, after, counts = [], [], []
+        for row in _rows_of(table):
+            before.append(np.repeat(np.frombuffer(row["contexts"], "<u8"), np.frombuffer(row["sizes"], "<u4")))
+            after.append(np.frombuffer(row["words"], "<u8"))
+            counts.append(np.frombuffer(row["counts"], "<u4"))
+        u, w, c = (np.concatenate(x) for x in (before, after, counts))
+        vocabulary = np.unique(w)
+        vocabulary = vocabulary[np.argsort(vocabulary % np.uint64(buckets), kind="stable")]
+        u, w, c = u[c > 0], w[c > 0], c[c > 0]
+        order = np.lexsort((w, u))
+        u, w, c = u[order], w[order], c[order]
+        new = np.flatnonzero(np.append(True, (u[1:] != u[:-1]) | (w[1:] != w[:-1]))[: len(u)])
+        c = np.add.reduceat(c.astype(np.int64), new) if len(new) else c.astype(np.int64)
+        contexts, many = np.unique(u[new], return_counts=True)
+        ones = np.ones(len(c), np.int64)
+        row = {
+            "bucket": table.column("bucket")[0].as_py(),
+            "contexts": contexts.astype("<u8").tobytes(),
+            "sizes": many.astype("<u4").tobytes(),
+            "vocabulary": vocabulary.astype("<u8").tobytes(),
+            "cells": _places(vocabulary, w[new]).astype("<u4").tobytes(),
+            "counts": c.astype("<u4").tobytes(),
+            "tables": [ones.astype("<u4").tobytes()],
+            "p": [],
+            "once": int((c == 1).sum()),
+            "twice": int((c == 2).sum()),
+        }
+        return _pair_rows(row, ones, buckets)
+
+    return merge
+
+
+def _places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where the wanted keys, all there, stand among distinct keys in any order."""
+    by = np.argsort(keys)
+    return by[np.searchsorted(keys[by], wanted)]
+
+
+def _pairs_seated(number: int, keep: bool, discount: float, buckets: int):
+    """Cogroup function: takes the words' probabilities and, up to the last sweep, draws the pairs' tables.
+
+    What ``keep`` says to keep stays in the row: the tables so far with those probabilities.
+    """
+
+    def seat(known: pa.Table, answers: pa.Table) -> pa.Table:
+        (row,) = known.to_pylist()
+        by = sorted(answers.to_pylist(), key=lambda r: r["to"])
+        p = np.concatenate([np.frombuffer(r["p"], "<f8") for r in by])
+        row["word_counts"] = b"".join(r["word_counts"] for r in by)
+        if keep:
+            row["p"] = [*row["p"], p.astype("<f8").tobytes()]
+        if number > SWEEPS:
+            return _pair_rows(row, None, buckets)
+        context = np.repeat(np.arange(len(row["sizes"]) // 4), np.frombuffer(row["sizes"], "<u4"))
+        laid = np.bincount(context, np.frombuffer(row["tables"][-1], "<u4"))
+        rng = np.random.default_rng([number, row["bucket"], 2])
+        tables = draw_tables(
+            np.frombuffer(row["counts"], "<u4").astype(np.int64), np.log(p)[np.frombuffer(row["cells"], "<u4")],
+            STRENGTH + discount * laid[context], discount, rng,
+        )
+        row["tables"] = [*(row["tables"] if keep else row["tables"][:-1]), tables.astype("<u4").tobytes()]
+        return _pair_rows(row, tables, buckets)
+
+    return seat
+
+
+def _replied(discount: float, end: float):
+    """Cogroup function: for each slice the words' counts and the scores of its pairs of a bucket."""
+
+    def reply(asked: pa.Table, known: pa.Table) -> pa.Table:
+        (row,) = known.to_pylist()
+        contexts, vocabulary = np.frombuffer(row["contexts"], "<u8"), np.frombuffer(row["vocabulary"], "<u8")
+        context = np.repeat(np.arange(len(contexts)), np.frombuffer(row["sizes"], "<u4"))
+        # a cell's key, so that cells ascend: its previous word's place and its word's by hash
+        by = np.argsort(vocabulary)
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by))
+        cell = context * len(by) + rank[np.frombuffer(row["cells"], "<u4")]
+        counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
+        guests = np.bincount(context, counts, len(contexts))
+        word_count = np.frombuffer(row["word_counts"], "<i8")[by]
+        kept = []
+        for t, p in zip(row["tables"], row["p"], strict=True):
+            t = np.frombuffer(t, "<u4")
+            kept.append((counts - discount * t, np.bincount(context, t, len(contexts)), np.frombuffer(p, "<f8")[by]))
+        out = []
+        for ask in _rows_of(asked):
+            wanted, many = np.frombuffer(ask["contexts"], "<u8"), np.frombuffer(ask["sizes"], "<u4")
+            w = np.searchsorted(vocabulary[by], np.frombuffer(ask["words"], "<u8"))
+            room = np.minimum(np.searchsorted(contexts, wanted), max(len(contexts) - 1, 0))
+            there = contexts[room] == wanted if len(contexts) else np.zeros(len(wanted), bool)
+            key = np.repeat(np.where(there, room, -1), many) * len(by) + w
+            total = np.zeros(len(w))
+            for own, laid, p in kept:
+                (seated,) = _found(cell, key, own)
+                all_, tables = (np.where(there, x[room] if len(x) else 0, 0) for x in (guests, laid))
+                share = (STRENGTH + discount * tables) / (STRENGTH + all_)
+                total += seated / (STRENGTH + np.repeat(all_, many)) + np.repeat(share, many) * p[w]
+            score = np.log10(total / len(kept) * (1 - end))
+            out.append((ask["slice"], row["bucket"], word_count[w].astype("<i8").tobytes(), score.astype("<f8").tobytes()))
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+        return pa.table(
+            [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+            names=["slice", "bucket", "counts", "scores"],
+        )
+
+    return reply
+
+
+def _scored(total: int, kinds: int, ends: int, end: float):
+    """Cogroup function: the scores of a slice's documents from its pairs' replies."""
 
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
         (row,) = docs.to_pylist()
         by = sorted(answers.to_pylist(), key=lambda r: r["bucket"])
-        count = np.concatenate([np.frombuffer(r["counts"], "<i8") for r in by])
-        value = np.concatenate([np.frombuffer(r["scores"], "<f8") for r in by])
-        often = unpack(row["sizes"], row["words"], len(count))
+        count = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["counts"], "<i8") for r in by)])
+        value = np.concatenate([np.zeros(0), *(np.frombuffer(r["scores"], "<f8") for r in by)])
         n = np.array(row["tokens"], np.int64)
-        code = often[unpack(row["control"], row["data"], int(n.sum()))]
+        code = unpack(row["control"], row["data"], int((n - 1).sum()))
         edges = np.append(0, np.cumsum(n))
 
-        def summed(values: np.ndarray) -> np.ndarray:
-            return np.add.reduceat(values[code], edges[:-1])
+        def summed(values: np.ndarray, last: float) -> np.ndarray:
+            return np.add.reduceat(np.insert(values[code], np.cumsum(n - 1), last), edges[:-1])
+
+        def base(count):
+            return np.log10((count + 1) / (total + 1 * (kinds + 1)))
 
-        base = np.log10((count + 1) / (total + 1 * (kinds + 1)))
         return pa.table(
             {
                 "doc_id": pa.array(row["doc_ids"], pa.int64()),
                 "held_out": pa.array(row["held"], pa.bool_()),
                 "n_tokens": pa.array(n),
-                "n_known": pa.array(summed((count > 0).astype(np.int64))),
+                "n_known": pa.array(summed((count > 0).astype(np.int64), int(ends > 0))),
                 "train_tokens": pa.array(np.full(len(n), total, np.int64)),
-                "base_score": pa.array(summed(base)),
-                "score": pa.array(summed(value)),
+                "base_score": pa.array(summed(base(count), base(ends))),
+                "score": pa.array(summed(value, np.log10(end))),
             }
         )
 
@@ -452,29 +630,40 @@ _RESULT = (
 )
 
 
-def _letter_customers(words_: DataFrame, sweep: Sweep, contexts: DataFrame | None):
-    """Run a sweep over the words: its tables, and the letters' customers by cell."""
+def _letter_customers(words_: DataFrame, contexts: DataFrame | None):
+    """The letters' customers by cell, which the words' tables send."""
     spark = words_.sparkSession
-    ref = spark.sparkContext.broadcast(sweep)
-    cells = saved(
-        words_.mapInArrow(_letter_counts(ref), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")),
+    letters = saved(
+        words_.select("words", "sizes", "tables").mapInArrow(_letter_counts, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")),
         "py-cells", keep=False,
     )
-    tables = cells.where(F.col("cell") == -1).first()
-    letters = cells.where(F.col("cell") >= 0)
     room = F.shiftright("cell", 8)
     if contexts is None:
         top = letters.groupBy(room.alias("room")).agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "room").limit(CONTEXTS)
         contexts = spark.createDataFrame(top.select("room").toArrow())
     third = letters.withColumn("room", room).join(F.broadcast(contexts), "room").select("cell", "n").toArrow()
     second = letters.groupBy(F.col("cell").bitwiseAND(F.lit((1 << 24) - 1)).alias("cell")).agg(F.sum("n").alias("n")).toArrow()
-    drop(cells)
+    drop(letters)
     sides = []
     for got in (third, second):
         cell, n = got["cell"].to_numpy(), got["n"].to_numpy()
         by = np.argsort(cell)
         sides.append((cell[by], n[by]))
-    return (tables["n"] if tables else 0), *sides, contexts
+    return *sides, contexts
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _written(df: DataFrame, name: str, keep: bool = True) -> DataFrame:
+    """``saved``, and the shuffle files it took are removed at once: the pairs' are large."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        return saved(df, name, keep)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
 
 
 def scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -486,34 +675,69 @@ def scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text"
         F.coalesce(held_out, F.lit(False)).alias("held"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    read = saved(rows.mapInArrow(_read(buckets), f"{_DOCS}, {_ASKED.split(', ', 1)[1]}"), "py-read")
-    asked = read.where(F.col("bucket").isNotNull()).select("slice", "bucket", "words", "sizes", "counts")
-    table = saved(
-        asked.groupBy("bucket").applyInArrow(
-            _merged, "bucket int, words binary, sizes binary, counts binary, n bigint, v bigint, once bigint, twice bigint"
+    read = _written(
+        rows.mapInArrow(_read(buckets), f"{_DOCS}, {_ASKED.split(', ', 1)[1]}"), "py-read"
+    )
+    asked = read.where(F.col("contexts").isNotNull()).select("slice", "bucket", "contexts", "words", "sizes", "counts")
+    table = _written(
+        read.where("doc_ids is null and contexts is null").select("bucket", "words", "sizes", "counts")
+        .groupBy("bucket").applyInArrow(
+            _merged, "bucket int, words binary, sizes binary, counts binary, n bigint, v bigint, ends bigint"
         ),
-        "py-words",
+        "py-words", keep=False,
     )
-    sums = table.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "once", "twice"))).first()
+    sums = table.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "ends"))).first()
     words_ = table.select("bucket", "words", "sizes", "counts")
-    discount = float(np.clip(sums["once"] / (sums["once"] + 2 * sums["twice"]) if sums["once"] else 0.5, 0.1, 0.95))
+    pairs = _written(asked.drop("slice").groupBy("bucket").applyInArrow(_paired(buckets), _PAIRS), "py-pairs", keep=False)
+    # of pairs that occur once and twice
+    pair_discount = _discount(pairs.agg(F.sum("once").alias("once"), F.sum("twice").alias("twice")).first(), 0.95)
     rng = np.random.default_rng(20240229)
-    letters, tables, contexts, kept = None, 0, None, []
+    letters, laid, contexts, discount = None, 0, None, 0.5
     for number in range(SWEEPS + 1):
-        sweep = Sweep(number, letters, tables, discount)
-        tables, third, second, contexts = _letter_customers(words_, sweep, contexts)
+        sent = pairs.where(F.col("to").isNotNull()).select("bucket", "to", "words", "n")
+        ref = spark.sparkContext.broadcast(Sweep(number, letters, laid, discount))
+        seated = _written(
+            words_.groupBy("bucket").cogroup(sent.groupBy("to")).applyInArrow(_seated(ref), _WORDS), "py-seated", keep=False
+        )
+        got = seated.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_customers", "n_tables", "once", "twice"))).first()
+        laid = got["n_tables"]
+        if number == 0:
+            discount = _discount(got, 0.95)
+        third, second, contexts = _letter_customers(seated, contexts)
         letters = seat_letters(letters or Letters(), third, second, rng)
-        if number > BURN:
-            kept.append((sweep, letters, tables))
-    ref = spark.sparkContext.broadcast(kept)
-    masses = words_.mapInArrow(_known_mass(ref), "kept int, mass double").groupBy("kept").agg(F.sum("mass").alias("mass"))
-    known = {r["kept"]: min(r["mass"], 1 - 1e-9) for r in masses.collect()}
-    new = [(STRENGTH + x.discount * t) / (STRENGTH + sums["n"]) * (1 - known.get(k, 0.0)) for k, (x, _, t) in enumerate(kept)]
-    answers = saved(
-        asked.groupBy("bucket").cogroup(words_.groupBy("bucket")).applyInArrow(
-            _answered(ref, sums["n"], float(np.mean(new))), "slice bigint, bucket int, counts binary, scores binary"
+        ref = spark.sparkContext.broadcast(Sweep(number, letters, laid, discount))
+        keep, unknown = number > BURN, 1.0
+        if keep:
+            mass = seated.mapInArrow(_known_mass(spark.sparkContext.broadcast(letters)), "mass double")
+            known = min(mass.agg(F.sum("mass")).first()[0] or 0.0, 1 - 1e-9)
+            unknown = (STRENGTH + discount * laid) / (STRENGTH + got["n_customers"]) * (1 - known)
+        answers = seated.groupBy("bucket").cogroup(sent.groupBy("to")).applyInArrow(
+            _answered(ref, got["n_customers"], unknown), "bucket int, to int, word_counts binary, p binary"
+        )
+        after = _written(
+            pairs.where(F.col("to").isNull()).groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(
+                _pairs_seated(number + 1, keep, pair_discount, buckets), _PAIRS
+            ),
+            "py-pairs", keep=number == SWEEPS,
+        )
+        drop(pairs)
+        drop(seated)
+        pairs = after
+    drop(table)
+    no_letters = letters.probability(_NO_LETTERS)[0]
+    end = float((sums["ends"] + STRENGTH * no_letters) / (sums["n"] + STRENGTH))
+    replies = _written(
+        asked.drop("counts").groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(
+            _replied(pair_discount, end), "slice bigint, bucket int, counts binary, scores binary"
         ),
         "py-answers",
     )
-    texts = read.where(F.col("bucket").isNull()).select("slice", "doc_ids", "held", "tokens", "control", "data", "words", "sizes")
-    return texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_scored(sums["n"], sums["v"]), _RESULT)
+    texts = read.where(F.col("doc_ids").isNotNull()).select("slice", "doc_ids", "held", "tokens", "control", "data")
+    return texts.groupBy("slice").cogroup(replies.groupBy("slice")).applyInArrow(
+        _scored(sums["n"], sums["v"], sums["ends"], end), _RESULT
+    )
+
+
+def _discount(seen, most: float) -> float:
+    """Estimated from how many dishes have one and two customers."""
+    return float(np.clip(seen["once"] / (seen["once"] + 2 * seen["twice"]) if seen["once"] else 0.5, 0.1, most))
