@@ -23,9 +23,9 @@ the previous word's hash. There the corpus's tables are merged and seated; in ea
 the pairs' partitions send tables by word to the words' partitions and get the words'
 probabilities back, and in the end each slice gets those of its pairs. So what is moved
 is per slice and distinct word or pair, a
-frequent word cannot crowd a partition, and texts do not move. Only the letters'
-restaurants are gathered and broadcast: three letters of ``CONTEXTS`` contexts at most,
-those with most customers, and two letters or less, which byte pairs bound.
+frequent word cannot crowd a partition, and texts do not move. The restaurants of three
+letters lie in partitions by context and are joined to the words' letters; only those of
+two letters or less, which byte pairs bound, are gathered and broadcast.
 
 Null text counts as empty: the end alone. A row without an id is for training. Repeated
 rows count and are scored each. An empty table gives no rows. Other columns are not read.
@@ -52,8 +52,6 @@ KEPT = SWEEPS - BURN
 SLICE = 6_000_000
 #: Buckets of pairs for each of words: a task holds one bucket at a time.
 FINER = 4
-#: Contexts of three letters that get a restaurant of their own.
-CONTEXTS = 65_536
 #: Customers of a dish up to which the conditional is summed exactly.
 EXACT = 100
 #: Pulls an almost empty restaurant to its parent.
@@ -163,15 +161,16 @@ def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return found, np.bincount(back, values, len(found)).astype(np.int64)
 
 
-def seat_letters(before: Letters, third: tuple, second: tuple, rng: np.random.Generator) -> Letters:
+def seat_letters(before: Letters, third: tuple | None, second: tuple, rng: np.random.Generator) -> Letters:
     """A sweep over the context restaurants, given customers of the third and second order.
 
-    Customers of contexts without a restaurant of three letters sit in that of two.
+    Customers of contexts without a restaurant of three letters sit in that of two. Without
+    ``third``, whose restaurants lie elsewhere then, those of two letters and less are seated.
     """
     now = Letters()
-    cells, n = third
     pairs, all_n = second
-    for k in range(ORDERS - 1, -1, -1):
+    cells, n = third or second
+    for k in range(ORDERS - 1 if third else ORDERS - 2, -1, -1):
         one, two = (n == 1).sum(), (n == 2).sum()
         d = float(np.clip(one / (one + 2 * two) if one else 0.5, 0.1, 0.9))
         wide = cells  # the cell's own bytes suffice to look its shorter contexts up
@@ -211,14 +210,6 @@ def spelling(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return cells, at
 
 
-def spelled(letters: Letters, cells: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Logarithm of each word's probability by its letters."""
-    distinct, back = np.unique(cells, return_inverse=True)
-    total = np.zeros(len(cells) + 1)
-    np.cumsum(np.log(letters.probability(distinct))[back], out=total[1:])
-    return total[at[1:]] - total[at[:-1]]
-
-
 # --- words ------------------------------------------------------------------------
 
 _DOCS = "slice bigint, doc_ids array<bigint>, held array<boolean>, tokens array<bigint>, control binary, data binary"
@@ -348,10 +339,9 @@ def _merged(table: pa.Table) -> pa.Table:
 
 @dataclass
 class Sweep:
-    """What a sweep of the words starts from: the letters, and the tables of the sweep before."""
+    """What a sweep of the words starts from: the tables of the sweep before."""
 
     number: int
-    letters: Letters | None
     tables: int
     discount: float
 
@@ -359,19 +349,13 @@ class Sweep:
 _NO_LETTERS = np.array([_GAP << 24 | _GAP << 16 | _GAP << 8 | _GAP])
 
 
-def _base(row: dict, letters: Letters) -> np.ndarray:
-    """Logarithm of how probable the bucket's words are by their letters, among words with any."""
-    cells, at = _cells(row)
-    return spelled(letters, cells, at) - np.log1p(-letters.probability(_NO_LETTERS)[0])
-
-
 def _cells(row: dict) -> tuple[np.ndarray, np.ndarray]:
     size = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
     data, ends = np.frombuffer(row["words"], np.uint8), np.cumsum(size)
     return spelling(data, ends - size, ends)
 
 
-_WORDS = "bucket int, words binary, sizes binary, counts binary, customers binary, tables binary, n_customers bigint, n_tables bigint, once bigint, twice bigint"
+_WORDS = "bucket int, words binary, sizes binary, counts binary, customers binary, tables binary, n_customers bigint, n_tables bigint, once bigint, twice bigint, base binary"
 
 
 def _seated(sweep_ref):
@@ -385,12 +369,12 @@ def _seated(sweep_ref):
         for message in _rows_of(sent):
             at = np.searchsorted(h, np.frombuffer(message["words"], "<u8"))
             customers[at] += np.frombuffer(message["n"], "<u4")
-        if sweep.letters is None:
+        if row.get("base") is None:
             tables = np.minimum(customers, 1)
         else:
             rng = np.random.default_rng([sweep.number, row["bucket"]])
             weight = np.full(len(h), STRENGTH + sweep.discount * sweep.tables)
-            tables = draw_tables(customers, _base(row, sweep.letters), weight, sweep.discount, rng)
+            tables = draw_tables(customers, np.frombuffer(row["base"], "<f8"), weight, sweep.discount, rng)
         inner = tables.sum()
         tables = np.where(size > 0, tables, np.minimum(count, 1))  # the end sends its letter once
         return pa.table(
@@ -402,6 +386,7 @@ def _seated(sweep_ref):
                 "n_tables": pa.array([int(inner)]),
                 "once": pa.array([int((customers == 1).sum())]),
                 "twice": pa.array([int((customers == 2).sum())]),
+                "base": pa.nulls(1, pa.binary()),
             }
         )
 
@@ -413,21 +398,87 @@ def _letter_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for row in batch.to_pylist():
             cells, at = _cells(row)
             distinct, n = _summed(cells, np.repeat(np.frombuffer(row["tables"], "<i8"), np.diff(at)))
-            yield pa.record_batch([pa.array(distinct[n > 0]), pa.array(n[n > 0])], names=["cell", "n"])
+            distinct, n = distinct[n > 0], n[n > 0]
+            yield pa.record_batch(
+                [pa.array([row["bucket"]] * len(n), pa.int32()), pa.array(distinct), pa.array(n)], names=["bucket", "cell", "n"]
+            )
 
 
-def _known_mass(letters_ref):
-    """How probable the spellings of the bucket's training words are."""
+@dataclass
+class Third:
+    """What restaurants of three letters need: the sweep, the shorter contexts, their own discount."""
+
+    number: int
+    letters: Letters
+    discount: float
+
 
+_THIRD = "part int, cell bigint, n bigint, tables bigint, guests bigint, laid bigint"
+
+
+def _third_seated(third_ref):
+    """Cogroup function: tables of the cells of some contexts, given those of the sweep before."""
+
+    def seat(sent: pa.Table, before: pa.Table) -> pa.Table:
+        third = third_ref.value
+        part = sent.column("part")[0].as_py() if sent.num_rows else 0
+        cells, n = sent.column("cell").to_numpy(), sent.column("n").to_numpy()
+        by = np.argsort(cells)
+        cells, n = cells[by], n[by]
+        rooms, first = np.unique(before.column("cell").to_numpy() >> 8, return_index=True)
+        (laid,) = _found(rooms, cells >> 8, before.column("laid").to_numpy()[first])
+        rng = np.random.default_rng([third.number, part, 3])
+        p = third.letters.probability(cells)
+        t = draw_tables(n, np.log(p), STRENGTH + third.discount * laid, third.discount, rng)
+        _, room = np.unique(cells >> 8, return_inverse=True)
+        guests, laid = (np.bincount(room, x)[room].astype(np.int64) if len(x) else x for x in (n, t))
+        columns = [pa.array([part] * len(t), pa.int32()), *(pa.array(x, pa.int64()) for x in (cells, n, t, guests, laid))]
+        return pa.table(columns, names=["part", "cell", "n", "tables", "guests", "laid"])
+
+    return seat
+
+
+def _third_probability(third_ref):
     def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        third = third_ref.value
         for batch in batches:
-            for row in batch.to_pylist():
-                trained = (np.frombuffer(row["counts"], "<i8") > 0) & (np.frombuffer(row["sizes"], "<u4") > 0)
-                yield pa.record_batch([pa.array([np.exp(_base(row, letters_ref.value))[trained].sum()])], names=["mass"])
+            n, t, guests, laid = (batch.column(k).to_numpy() for k in ("n", "tables", "guests", "laid"))
+            parent = third.letters.probability(batch.column("cell").to_numpy())
+            own = n - third.discount * t + (STRENGTH + third.discount * laid) * parent
+            yield pa.record_batch([batch.column("cell"), pa.array(own / (STRENGTH + guests))], names=["cell", "p"])
 
     return weigh
 
 
+def _spelled(no_letters: float):
+    """Cogroup function: adds how probable a bucket's words are by their letters, among words with any.
+
+    The logarithm; only that of words with tables, whose letters' cells all exist, is used.
+    """
+
+    def spell(known: pa.Table, answers: pa.Table) -> pa.Table:
+        (row,) = known.to_pylist()
+        keys, p = answers.column("cell").to_numpy(), answers.column("p").to_numpy()
+        by = np.argsort(keys)
+        cells, at = _cells(row)
+        (found,) = _found(keys[by], cells, p[by])
+        total = np.append(0.0, np.cumsum(np.log(np.where(found > 0, found, 1.0))))
+        base = total[at[1:]] - total[at[:-1]] - np.log1p(-no_letters)
+        return known.set_column(
+            known.schema.get_field_index("base"), "base", pa.array([base.astype("<f8").tobytes()], pa.binary())
+        )
+
+    return spell
+
+
+def _known_mass(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How probable the spellings of the bucket's training words are."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            trained = (np.frombuffer(row["counts"], "<i8") > 0) & (np.frombuffer(row["sizes"], "<u4") > 0)
+            yield pa.record_batch([pa.array([np.exp(np.frombuffer(row["base"], "<f8"))[trained].sum()])], names=["mass"])
+
+
 def _answered(sweep_ref, customers: int, unknown: float):
     """Cogroup function: to each bucket of pairs, counts and probabilities of the words it asks for."""
 
@@ -436,7 +487,7 @@ def _answered(sweep_ref, customers: int, unknown: float):
         h, _, _ = _hashes(row)
         count, c, t = (np.frombuffer(row[k], "<i8") for k in ("counts", "customers", "tables"))
         weight = STRENGTH + sweep.discount * sweep.tables
-        p = (c - sweep.discount * t + weight * np.exp(_base(row, sweep.letters))) / (STRENGTH + customers)
+        p = (c - sweep.discount * t + weight * np.exp(np.frombuffer(row["base"], "<f8"))) / (STRENGTH + customers)
         p = np.where(count > 0, p, unknown)
         out = []
         for ask in _rows_of(asked):
@@ -630,28 +681,6 @@ _RESULT = (
 )
 
 
-def _letter_customers(words_: DataFrame, contexts: DataFrame | None):
-    """The letters' customers by cell, which the words' tables send."""
-    spark = words_.sparkSession
-    letters = saved(
-        words_.select("words", "sizes", "tables").mapInArrow(_letter_counts, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")),
-        "py-cells", keep=False,
-    )
-    room = F.shiftright("cell", 8)
-    if contexts is None:
-        top = letters.groupBy(room.alias("room")).agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "room").limit(CONTEXTS)
-        contexts = spark.createDataFrame(top.select("room").toArrow())
-    third = letters.withColumn("room", room).join(F.broadcast(contexts), "room").select("cell", "n").toArrow()
-    second = letters.groupBy(F.col("cell").bitwiseAND(F.lit((1 << 24) - 1)).alias("cell")).agg(F.sum("n").alias("n")).toArrow()
-    drop(letters)
-    sides = []
-    for got in (third, second):
-        cell, n = got["cell"].to_numpy(), got["n"].to_numpy()
-        by = np.argsort(cell)
-        sides.append((cell[by], n[by]))
-    return *sides, contexts
-
-
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -666,6 +695,50 @@ def _written(df: DataFrame, name: str, keep: bool = True) -> DataFrame:
         conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
 
 
+def _letters_seated(seated: DataFrame, number: int, before: tuple | None, rng: np.random.Generator):
+    """A sweep over the letters' restaurants, from the words' tables.
+
+    The words with their probabilities by letters, the probability of no letters, and the
+    state for the next sweep: the shorter contexts, and the table of those of three letters.
+    """
+    spark = seated.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    old, old_third = before or (Letters(), None)
+    cells = _written(
+        seated.select("bucket", "words", "sizes", "tables").mapInArrow(_letter_counts, "bucket int, cell bigint, n bigint"),
+        "py-cells", keep=False,
+    )
+    part = F.pmod(F.hash(F.shiftright("cell", 8)), F.lit(buckets)).alias("part")
+    totals = _written(cells.groupBy("cell").agg(F.sum("n").alias("n")).select(part, "cell", "n"), "py-letters", keep=False)
+    seen = totals.agg(F.count(F.when(F.col("n") == 1, 1)).alias("once"), F.count(F.when(F.col("n") == 2, 1)).alias("twice"))
+    discount = _discount(seen.first(), 0.9)
+    ref = spark.sparkContext.broadcast(Third(number, old, discount))
+    previous = old_third if old_third is not None else spark.createDataFrame([], _THIRD)
+    third = _written(
+        totals.groupBy("part").cogroup(previous.groupBy("part")).applyInArrow(_third_seated(ref), _THIRD), "py-third", keep=False
+    )
+    drop(totals)
+    if old_third is not None:
+        drop(old_third)
+    shorter = F.col("cell").bitwiseAND(F.lit((1 << 24) - 1)).alias("cell")
+    got = third.groupBy(shorter).agg(F.sum("tables").alias("n")).toArrow()
+    cell, n = got["cell"].to_numpy(), got["n"].to_numpy()
+    by = np.argsort(cell)
+    now = seat_letters(old, None, (cell[by], n[by]), rng)
+    ref = spark.sparkContext.broadcast(Third(number, now, discount))
+    p = third.mapInArrow(_third_probability(ref), "cell bigint, p double")
+    end = p.where(F.col("cell") == int(_NO_LETTERS[0])).first()
+    no_letters = float(end["p"] if end else now.probability(_NO_LETTERS)[0])
+    spelled_ = _written(
+        seated.groupBy("bucket").cogroup(cells.join(p, "cell").select("bucket", "cell", "p").groupBy("bucket")).applyInArrow(
+            _spelled(no_letters), _WORDS
+        ),
+        "py-spelled", keep=False,
+    )
+    drop(cells)
+    return spelled_, no_letters, (now, third)
+
+
 def scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Score every text by a model of those that the boolean column ``held_out`` does not mark."""
     spark = docs.sparkSession
@@ -692,10 +765,10 @@ def scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text"
     # of pairs that occur once and twice
     pair_discount = _discount(pairs.agg(F.sum("once").alias("once"), F.sum("twice").alias("twice")).first(), 0.95)
     rng = np.random.default_rng(20240229)
-    letters, laid, contexts, discount = None, 0, None, 0.5
+    letters, laid, discount, no_letters = None, 0, 0.5, 0.0
     for number in range(SWEEPS + 1):
         sent = pairs.where(F.col("to").isNotNull()).select("bucket", "to", "words", "n")
-        ref = spark.sparkContext.broadcast(Sweep(number, letters, laid, discount))
+        ref = spark.sparkContext.broadcast(Sweep(number, laid, discount))
         seated = _written(
             words_.groupBy("bucket").cogroup(sent.groupBy("to")).applyInArrow(_seated(ref), _WORDS), "py-seated", keep=False
         )
@@ -703,12 +776,13 @@ def scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text"
         laid = got["n_tables"]
         if number == 0:
             discount = _discount(got, 0.95)
-        third, second, contexts = _letter_customers(seated, contexts)
-        letters = seat_letters(letters or Letters(), third, second, rng)
-        ref = spark.sparkContext.broadcast(Sweep(number, letters, laid, discount))
+        plain = seated
+        seated, no_letters, letters = _letters_seated(plain, number, letters, rng)
+        drop(plain)
+        ref = spark.sparkContext.broadcast(Sweep(number, laid, discount))
         keep, unknown = number > BURN, 1.0
         if keep:
-            mass = seated.mapInArrow(_known_mass(spark.sparkContext.broadcast(letters)), "mass double")
+            mass = seated.select("sizes", "counts", "base").mapInArrow(_known_mass, "mass double")
             known = min(mass.agg(F.sum("mass")).first()[0] or 0.0, 1 - 1e-9)
             unknown = (STRENGTH + discount * laid) / (STRENGTH + got["n_customers"]) * (1 - known)
         answers = seated.groupBy("bucket").cogroup(sent.groupBy("to")).applyInArrow(
@@ -721,10 +795,10 @@ def scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text"
             "py-pairs", keep=number == SWEEPS,
         )
         drop(pairs)
-        drop(seated)
-        pairs = after
-    drop(table)
-    no_letters = letters.probability(_NO_LETTERS)[0]
+        drop(words_ if number else table)
+        words_, pairs = seated, after
+    drop(words_)
+    drop(letters[1])
     end = float((sums["ends"] + STRENGTH * no_letters) / (sums["n"] + STRENGTH))
     replies = _written(
         asked.drop("counts").groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(
