@@ -17,8 +17,9 @@ with one anchor is its context.
    prefix and the byte behind it. Suffixes that reach ``LENGTH`` together repeat.
 
 Counts are combined before they move; joins on grams stand between plain
-shuffles, so that Spark can split a gram in a third of all texts; the windows
-of a gram with many contexts are dealt out by their distance to the anchor.
+shuffles, so that Spark can split a gram in a third of all texts. The windows of a
+gram with many contexts are counted one by one instead, by a digest of 128 bits, as contexts
+are, and no bytes of them move: so no bucket grows with a gram.
 
 Null text counts as empty; texts shorter than ``LENGTH`` stay whole, and an empty
 table gives no rows. Equal rows are texts of their own, and so repeat each other.
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +43,8 @@ from .jaccard import row_key
 LENGTH = 400
 GRAM = 48
 SHALLOW = 32
-#: Contexts of a gram beyond which its windows are dealt out, and to how many buckets at most.
+#: Contexts of a gram beyond which its windows are counted by digest.
 CONTEXTS = 512
-BUCKETS = 64
 #: Bytes of a text in which anchors are looked for at once.
 SEGMENT = 8_000_000
 #: Windows sorted at once in a task, if they belong to several grams.
@@ -236,7 +237,7 @@ _BYTE_LIMITS = np.array([1 << 8 * k for k in range(8)], np.uint64)
 
 
 def _sorted_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Byte ranges that occur again, per text, from buckets sorted by gram and part."""
+    """Byte ranges that occur again, per text, from buckets sorted by gram."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in _whole_grams(batches):
@@ -379,36 +380,56 @@ def _settled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the contexts to compare; those of crowded grams in parts by distance to the anchor."""
+def _sent(most: int):
+    """Map function: the bytes of the contexts to compare, but those of grams with more than ``most``."""
+
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, c, view, base in _to_compare(batches):
+            if c["rivals"] <= most:
+                a = base + c["first"]
+                bytes_ = bytes(view[a : a + c["windows"] - 1 + LENGTH])
+                yield key, c["gram"], c["first"], c["windows"], c["anchor"], c["again"], bytes_
+
+    kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+    return _batched(send, kinds, ["key", "gram", "first", "windows", "anchor", "again", "bytes"], 4096)
+
+
+def _windows(most: int):
+    """Map function: digest and place of each window of grams with more than ``most`` contexts."""
+
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, c, view, base in _to_compare(batches):
+            if c["rivals"] > most:
+                for first in range(c["first"], c["first"] + c["windows"]):
+                    window = view[base + first : base + first + LENGTH]
+                    yield hashlib.blake2b(window, digest_size=16).digest(), key, first, not c["again"]
+
+    kinds = (pa.binary(), pa.binary(), pa.int32(), pa.bool_())
+    return _batched(send, kinds, ["digest", "key", "first", "own"], 65_536)
+
+
+def _to_compare(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, dict, memoryview, int]]:
+    """Contexts to compare: the text's key, the context, the bytes around, where the text starts there."""
     for batch in slices(batches, "text"):
         data, offsets = text_bytes(batch.column("text"))
         view = memoryview(np.ascontiguousarray(data))
-        out: list[tuple] = []
         for key, found, base in zip(
             batch.column("key").to_pylist(), batch.column("contexts").to_pylist(), offsets[:-1].tolist(), strict=True
         ):
             for c in found:
-                if not c["sent"]:
-                    continue
-                parts = min(BUCKETS, -(-c["rivals"] // CONTEXTS))
-                width = -(-(LENGTH - GRAM + 1) // parts)
-                lo, hi = c["anchor"] - c["windows"] + 1, c["anchor"]  # distances of the windows
-                for part in range(lo // width, hi // width + 1):
-                    far, near = min(hi, part * width + width - 1), max(lo, part * width)
-                    skip, n = c["anchor"] - far, far - near + 1
-                    a = base + c["first"] + skip
-                    out.append(
-                        (key, c["gram"], part, c["first"] + skip, n, far, c["again"], bytes(view[a : a + n - 1 + LENGTH]))
-                    )
-        if not out:
-            continue
-        kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
-        names = ["key", "gram", "part", "first", "windows", "anchor", "again", "bytes"]
-        for k in range(0, len(out), 4096):
-            columns = zip(*out[k : k + 4096], strict=True)
+                if c["sent"]:
+                    yield key, c, view, base
+
+
+def _batched(rows, kinds: tuple, names: list[str], size: int):
+    def batched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = rows(batches)
+        while out := list(islice(every, size)):
+            columns = zip(*out, strict=True)
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
+    return batched
+
 
 def _final(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
@@ -451,13 +472,21 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     drop(contexts)
     pending = state.where(F.col("text").isNotNull())
     sent = pending.select("key", "contexts", "text").mapInArrow(
-        _sent, "key binary, gram bigint, part int, first int, windows int, anchor int, again boolean, bytes binary"
+        _sent(CONTEXTS), "key binary, gram bigint, first int, windows int, anchor int, again boolean, bytes binary"
     )
-    buckets = sent.withColumn("bucket", F.xxhash64("gram", "part")).repartition(parts, "bucket")
-    ranges = saved(
-        buckets.sortWithinPartitions("bucket", "gram").mapInArrow(_sorted_buckets, "key binary, start bigint, end bigint"),
-        "suffix-ranges", keep=False,
+    buckets = sent.withColumn("bucket", F.xxhash64("gram")).repartition(parts, "bucket")
+    ranges = buckets.sortWithinPartitions("bucket", "gram").mapInArrow(_sorted_buckets, "key binary, start bigint, end bigint")
+    windows = saved(
+        pending.select("key", "contexts", "text").mapInArrow(
+            _windows(CONTEXTS), "digest binary, key binary, first int, own boolean"
+        ),
+        "suffix-windows", keep=False,
     )
+    several = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("digest")
+    start = F.col("first").cast("long")
+    alike = windows.where("own").join(several, "digest").select("key", start.alias("start"), (start + LENGTH).alias("end"))
+    ranges = saved(ranges.unionByName(alike), "suffix-ranges", keep=False)
+    drop(windows)
     by_text = saved(
         ranges.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("ranges")), "suffix-by-text"
     )
