@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import jaccard, leaks, neighbours, packing, pii, pitman_yor, quality, secrets, suffixes, token_files
+from . import (
+    alignment,
+    jaccard,
+    leaks,
+    neighbours,
+    packing,
+    pii,
+    pitman_yor,
+    quality,
+    resampling,
+    secrets,
+    suffixes,
+    token_counts,
+    token_files,
+)
 from .common import fresh_path
 from .digests import count_of, joined_spans, of_kinds, sha256
 from .settings import END_ID, table, vocabulary
@@ -115,6 +129,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of every document under two tokenizers."""
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many tokens every document has."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark, and the rank of those drawn."""
+    return resampling.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_leaks": op2_leaks,
@@ -126,6 +156,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_token_files": op9_token_files,
     "op10_quality": op10_quality,
+    "op11_alignment": op11_alignment,
+    "op12_token_counts": op12_token_counts,
+    "op13_resampling": op13_resampling,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -34,14 +34,17 @@ _WIDE = byte_set(0xE1, 0xE2, 0xE3)
 _AFTER_C2 = byte_set(0x85, 0xA0)
 
 
+def blank_before(data: np.ndarray, spot: np.ndarray) -> np.ndarray:
+    """Whether white space may stand before each ``spot``; true also for a few other characters."""
+    before, two, three = data[spot - 1], data[np.maximum(spot - 2, 0)], data[np.maximum(spot - 3, 0)]
+    return _BLANK[before] | (_AFTER_C2[before] & (two == 0xC2)) | _WIDE[three]
+
+
 def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where the pieces of all texts begin, and an empty piece at each text's end; ascending."""
     spot = np.flatnonzero(_CUT[data])
     spot = spot[spot > 0]
-    mark, before = _MARK[data[spot]], data[spot - 1]
-    two, three = data[np.maximum(spot - 2, 0)], data[np.maximum(spot - 3, 0)]
-    blank = _BLANK[before] | (_AFTER_C2[before] & (two == 0xC2)) | _WIDE[three]
-    spot = spot[np.where(mark, _ALPHA[before], ~blank)]
+    spot = spot[np.where(_MARK[data[spot]], _ALPHA[data[spot - 1]], ~blank_before(data, spot))]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     texts = np.concatenate([offsets[:-1][offsets[:-1] < offsets[1:]], offsets[1:]])
