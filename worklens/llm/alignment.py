@@ -26,6 +26,7 @@ import hashlib
 import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ from pyspark.sql import functions as F
 from .common import filled, saved, slices, text_bytes
 from .tokens import blank_before
 
-#: Bytes of segments and their ids that a worker keeps; beyond, it starts anew.
-KEPT_BYTES = 48_000_000
+#: Bytes of segments and their ids that a worker keeps; beyond, only those of the texts at hand stay.
+KEPT_BYTES = 64_000_000
 _ENTRY = 200  # bytes of a short string, its place in a dictionary, and its ids
 #: Segments handed to a tokenizer at once, whose encodings are large.
 ENCODE_SEGMENTS = 10_000
@@ -64,17 +65,16 @@ class Ids:
         self.ids, self.ends = np.zeros(1 << 12, np.uint32), np.zeros(1 << 10, np.int64)
         self.n = 0
 
-    def add(self, lists: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
         last = int(self.ends[self.n])
-        end = last + int(sizes.sum())
+        end = last + len(ids)
         while end > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.n + len(lists) >= len(self.ends):
+        while self.n + len(sizes) >= len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[last:end] = np.fromiter((i for x in lists for i in x), np.uint32, end - last)
-        self.ends[self.n + 1 : self.n + len(lists) + 1] = last + np.cumsum(sizes)
-        self.n += len(lists)
+        self.ids[last:end] = ids
+        self.ends[self.n + 1 : self.n + len(sizes) + 1] = last + np.cumsum(sizes)
+        self.n += len(sizes)
 
     def of(self, places: np.ndarray) -> np.ndarray:
         """The ids of all ``places``, end to end."""
@@ -84,6 +84,12 @@ class Ids:
         return self.ids[np.repeat(first - (at - size), size) + np.arange(at[-1] if len(at) else 0)]
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists end to end, and their sizes."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), sizes
+
+
 class Pair:
     """Both tokenizers, and the ids of the segments met so far."""
 
@@ -117,34 +123,64 @@ class Pair:
         self.right = np.zeros(1 << 10, bool)
         self.kept_bytes = 0
 
-    def _learn(self, segments: list[str]) -> None:
+    def _learn(self, segments: list[str], in_a_row: bool) -> None:
+        """Ids of new segments. In a row, A gets them as one text that it cuts where they meet."""
         for k in range(0, len(segments), ENCODE_SEGMENTS):
             part = segments[k : k + ENCODE_SEGMENTS]
-            a = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
+            raw = [s.encode() for s in part]
+            size = np.fromiter(map(len, raw), np.int64, len(raw))
+            made = self.a.encode_batch_fast(["".join(part)] if in_a_row else part, add_special_tokens=False)
+            if in_a_row:
+                a = np.array(made[0].ids, np.uint32)
+                ends = np.cumsum(self.widths[0][a])
+                n_a = np.diff(np.searchsorted(ends, np.cumsum(size)) + 1, prepend=0)
+            else:
+                a, n_a = _flat([e.ids for e in made])
             # B puts a space in front, which every segment already has.
-            b = self.b.encode([s[1:] for s in part], num_threads=1)
-            b = [x if len(s) > 1 else [self.space] for s, x in zip(part, b, strict=True)]
+            made = self.b.encode([s[1:] for s in part], num_threads=1)
+            b, n_b = _flat([x if len(s) > 1 else [self.space] for s, x in zip(part, made, strict=True)])
             n = self.ids[0].n
             while n + len(part) > len(self.right):
                 self.right = np.concatenate([self.right, np.zeros_like(self.right)])
-            for i, (s, x, y) in enumerate(zip(part, a, b, strict=True), n):
-                raw = s.encode()
-                self.right[i] = (
-                    b"".join(map(self.bytes_a.__getitem__, x)) == raw
-                    and b"".join(map(self.bytes_b.__getitem__, y)) == raw
-                )
-                self.place[s] = i
-                self.kept_bytes += _ENTRY + len(raw) + 4 * (len(x) + len(y))
-            self.ids[0].add(a)
-            self.ids[1].add(b)
+            self.right[n : n + len(part)] = self._spelled(0, a, n_a, raw, size) & self._spelled(1, b, n_b, raw, size)
+            self.place.update(zip(part, range(n, n + len(part)), strict=True))
+            self.ids[0].add(a, n_a)
+            self.ids[1].add(b, n_b)
+            self.kept_bytes += _ENTRY * len(part) + int(size.sum()) + 4 * (len(a) + len(b))
+
+    def _spelled(self, side: int, ids: np.ndarray, n: np.ndarray, raw: list[bytes], size: np.ndarray) -> np.ndarray | bool:
+        """Whether the tokens of each segment make its bytes."""
+        bytes_of = (self.bytes_a, self.bytes_b)[side]
+        made = [bytes_of[i] for i in ids.tolist()]
+        at = np.append(0, np.cumsum(n))
+        total = np.append(0, np.cumsum(self.widths[side][ids]))[at]
+        if (np.diff(total) == size).all() and b"".join(made) == b"".join(raw):
+            return True
+        return np.array([b"".join(made[i:j]) == x for i, j, x in zip(at[:-1], at[1:], raw, strict=True)])
+
+    def _keep_only(self, segments: list[str]) -> None:
+        """Forget all segments but these."""
+        kept = [s for s in segments if s in self.place]
+        at = np.fromiter(map(self.place.__getitem__, kept), np.int64, len(kept))
+        former, right = self.ids, self.right[at]
+        self.forget()
+        for new, old in zip(self.ids, former, strict=True):
+            ids = old.of(at)
+            new.add(ids, old.ends[at + 1] - old.ends[at])
+            self.kept_bytes += 4 * len(ids)
+        self.place = dict(zip(kept, range(len(kept)), strict=True))
+        self.right = np.append(right, np.zeros(1, bool))
+        self.kept_bytes += sum(_ENTRY + len(s) for s in kept)
 
     def places(self, segments: list[str]) -> np.ndarray:
         if self.kept_bytes > KEPT_BYTES:
-            self.forget()
+            self._keep_only(segments)
         get = self.place.get
         new = [s for s in segments if get(s) is None]
-        if new:
-            self._learn(new)
+        # Those that end in white space would be cut otherwise with a space behind them.
+        closed = [not (s[-1].isspace() or s[-1] in "\x1c\x1d\x1e\x1f") for s in new]
+        self._learn([s for s, c in zip(new, closed, strict=True) if c], True)
+        self._learn([s for s, c in zip(new, closed, strict=True) if not c], False)
         return np.fromiter(map(get, segments), np.int64, len(segments))
 
     def tokens(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -258,9 +294,8 @@ def align(
             n = batch.num_rows
             shas = [hashlib.sha256(raw[i:j]).hexdigest() if j > i else "" for i, j in zip(at[:-1], at[1:], strict=True)]
             shown = [raw[i:j].decode() for i, j in zip(at[:-1], at[1:], strict=True)] if groups else [None] * n
-            linked = pa.ListArray.from_arrays(
-                pa.array(made.links_of.astype(np.int32)), pa.array(links.reshape(-1).astype(np.int32))
-            )
+            packed = links.reshape(-1).astype("<u2" if len(pairs) <= 1 << 16 else "<u4")
+            linked = [packed[i:j].tobytes() for i, j in zip(made.links_of[:-1], made.links_of[1:], strict=True)]
             empty = pa.nulls(n, pa.list_(pa.int64()))
             yield pa.record_batch(
                 [
@@ -269,7 +304,7 @@ def align(
                     *(pa.array(x.astype(np.int64)) for x in made.sums),
                     pa.array(shas, pa.string()),
                     pa.array(shown, pa.string()),
-                    linked,
+                    pa.array(linked, pa.binary()),
                     empty,
                     empty,
                 ],
@@ -282,10 +317,10 @@ def align(
                 )
             block += 1
 
-    schema = f"block bigint, {_DOC}, links array<int>, pairs array<bigint>, times array<bigint>"
+    schema = f"block bigint, {_DOC}, links binary, pairs array<bigint>, times array<bigint>"
     names = [column.split()[0] for column in schema.split(", ")]
     kinds = [
-        pa.int64(), pa.int64(), *[pa.int64()] * 4, pa.string(), pa.string(), pa.list_(pa.int32()),
+        pa.int64(), pa.int64(), *[pa.int64()] * 4, pa.string(), pa.string(), pa.binary(),
         pa.list_(pa.int64()), pa.list_(pa.int64()),
     ]
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -307,9 +342,8 @@ def align(
         order = np.argsort(right["link"].to_numpy())
         n = right["n"].to_numpy()[order]
         best = right["best"].to_numpy(zero_copy_only=False)[order]
-        links = left["links"].combine_chunks()
-        at = np.append(0, np.cumsum(pc.list_value_length(links).to_numpy()))
-        number = links.flatten().to_numpy()
+        at = np.append(0, np.cumsum(left["n_links"].to_numpy()))
+        number = np.frombuffer(b"".join(left["links"].to_pylist()), "<u2" if len(n) <= 1 << 16 else "<u4")
         columns = {c: left[c] for c in keep}
         for name, values in (("n_best", best.astype(np.int64)), ("count_sum", n)):
             total = np.append(0, np.cumsum(values[number])) if len(number) else np.zeros(1, np.int64)
