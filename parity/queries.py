@@ -156,9 +156,9 @@ def latest_flag(spark, sf_dir):
 
 
 def stage_numbers_split(spark, sf_dir):
-    """All three numbers, each user day by day."""
+    """All three numbers, with cuts inside many users' rows."""
     stages = _stages(spark, sf_dir)
-    return O.number_stages(stages, ["user_id"], "stage", "ts", ["event_id"], F.to_date("ts"))
+    return O.number_stages(stages, ["user_id"], "stage", "ts", ["event_id"], ranges=500)
 
 
 def stage_history(spark, sf_dir):
@@ -173,7 +173,7 @@ def stage_history_split(spark, sf_dir):
         S.EVENT_PAIRS,
         S.FIRST_YEAR_EVENTS,
         labels=S.LABELS,
-        split_days=True,
+        ranges=500,
     )
 
 

@@ -5,9 +5,10 @@ from .tenants import scope
 from .ordering import iteration, latest_flag, number_stages, sequence
 from .shares import drop_blank, map_agg, per_object_minutes, regroup, share_of_total
 from .values import remap_values
-from .versions import attach_latest_attribute, latest_attribute, latest_by
+from .versions import attach_latest, attach_latest_attribute, latest_attribute, latest_by
 
 __all__ = [
+    "attach_latest",
     "attach_latest_attribute",
     "distinct_by_tag",
     "distinct_composite",

@@ -3,34 +3,64 @@
 All functions need ``tiebreak`` columns that make the order within a group
 unique; otherwise numbers could differ between runs. NULL times come last.
 
-A window puts each of its groups into one task. Where one group may hold a large
-part of all rows, pass ``cut``: a column that never decreases with ``order``, for
-example its day. Groups are then numbered per value of it, and the rows of the
-group's earlier values are added, so a group spans as many tasks as it has values. The
-numbers are the same either way, for every group, and nothing runs or is written before
-the result is used.
+No group is one task's work: large ones are dealt to cells, ranges of the order (see
+``cells``), which are numbered on their own. Of the groups that span several cells, the rows of each cell
+are counted before the shuffle, added up in the cells' order, and joined back. ``like`` and ``ranges``
+are those of ``in_cells``; they never change a number.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_CUT = "_cut"
+from .cells import CELL, KEY, SPLIT, in_cells
+
+_EARLIER, _LATER, _TIMED = "_w_earlier", "_w_later", "_w_timed"
 
 
 def _by_time(order: str, tiebreak: Sequence[str]) -> list[Column]:
     return [F.col(order).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]]
 
 
-def _join_on_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join by null-safe equality; Spark picks the join by the sizes it finds."""
-    renamed = {k: f"_other_{k}" for k in keys}
-    other = other.withColumnsRenamed(renamed)
-    match = [F.col(k).eqNullSafe(F.col(o)) for k, o in renamed.items()]
-    return df.join(other, match).drop(*renamed.values())
+def _other_cells(rows: DataFrame, order: str, node: str | None) -> DataFrame:
+    """Of each cell of a split group: the rows before it, of each node too, and what comes after it.
+
+    A group's cells are no more than its cuts and one, and the cells of all groups
+    no more than twice the shuffle partitions.
+    """
+    nodes = [] if node is None else [F.col(node).alias("_w_node")]
+    of_node = ["_w_node"] if nodes else []
+    counted = (
+        rows.where(SPLIT)
+        .groupBy(KEY, F.col(CELL), *nodes)
+        .agg(F.count(F.lit(1)).alias("_w_rows"), F.count(order).alias(_TIMED))
+        .repartition(KEY)
+    )
+    if nodes:
+        up_to_here = Window.partitionBy(KEY, "_w_node").orderBy(CELL)
+        before = F.sum("_w_rows").over(up_to_here) - F.col("_w_rows")
+        counted = counted.withColumn("_w_before", F.struct(F.struct("_w_node").alias("k"), before.alias("v")))
+    per_cell = counted.groupBy(KEY, CELL).agg(
+        F.sum("_w_rows").alias("_w_rows"),
+        F.sum(_TIMED).alias(_TIMED),
+        *[F.map_from_entries(F.collect_list("_w_before")).alias("_w_nodes") for _ in of_node],
+    )
+    in_order = Window.partitionBy(KEY).orderBy(CELL)
+    after = in_order.rowsBetween(1, Window.unboundedFollowing)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return per_cell.select(
+        F.col(CELL).alias("_w_of_cell"),
+        (F.sum("_w_rows").over(in_order) - F.col("_w_rows")).alias(_EARLIER),
+        F.struct(
+            F.coalesce(F.sum("_w_rows").over(after), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(_TIMED).over(after), F.lit(0)).alias("timed"),
+            F.sum(_TIMED).over(whole).alias("any_timed"),
+        ).alias(_LATER),
+        *(["_w_nodes"] if nodes else []),
+    )
 
 
 def _number(
@@ -38,43 +68,51 @@ def _number(
     keys: Sequence[str],
     order: str,
     tiebreak: Sequence[str],
-    name: str,
-    cut: bool,
+    like: DataFrame | None,
+    ranges: int | None,
+    flow: str | None = None,
+    flag: str | None = None,
+    iterations: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Position within ``keys``."""
-    group = [*keys, _CUT] if cut else list(keys)
-    window = Window.partitionBy(*group).orderBy(*_by_time(order, tiebreak))
-    numbered = df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    if not cut:
-        return numbered
-    up_to_here = Window.partitionBy(*keys).orderBy(F.col(_CUT).asc_nulls_last())
-    earlier = (
-        df.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*group, (F.sum("_rows").over(up_to_here) - F.col("_rows")).alias("_earlier"))
+    """Add the named numbers; ``iterations`` is the node's column and the number's name."""
+    columns = df.columns
+    node = iterations and iterations[0]
+    rows = in_cells(df, keys, [order, *tiebreak], like, ranges)
+    in_cell = Window.partitionBy(CELL).orderBy(*_by_time(order, tiebreak))
+    has_time = F.col(order).isNotNull()
+    numbered = rows.withColumns(
+        {
+            "_w_place": F.row_number().over(in_cell).cast("bigint"),
+            "_w_next": F.lead(has_time).over(in_cell),
+            # Rows with a time come first in a cell.
+            "_w_first": F.first(has_time).over(in_cell),
+        }
     )
-    total = _join_on_keys(numbered, earlier, group)
-    return total.withColumn(name, F.col(name) + F.col("_earlier")).drop("_earlier")
-
-
-def _flag_latest(
-    df: DataFrame, keys: Sequence[str], order: str, position: str, name: str, cut: bool
-) -> DataFrame:
-    """``'Yes'`` where ``position`` is that of the last row with a time."""
-    timed, rows = F.count(F.col(order)), F.count(F.lit(1))
-    if cut:
-        totals = df.groupBy(*keys).agg(timed.alias("_timed"), rows.alias("_rows"))
-        df = _join_on_keys(df, totals, keys)
-    else:
-        window = Window.partitionBy(*keys)
-        df = df.withColumns({"_timed": timed.over(window), "_rows": rows.over(window)})
-    last = F.when(F.col("_timed") > 0, F.col("_timed")).otherwise(F.col("_rows"))
-    flag = F.when(F.col(position) == last, F.lit("Yes")).otherwise(F.lit("Other"))
-    return df.withColumn(name, flag).drop("_timed", "_rows")
-
-
-def _cut_by(df: DataFrame, cut: Column | None, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    return step(df) if cut is None else step(df.withColumn(_CUT, cut)).drop(_CUT)
+    if node is not None:
+        of_node = Window.partitionBy(CELL, node).orderBy(*_by_time(order, tiebreak))
+        numbered = numbered.withColumn("_w_of_node", F.row_number().over(of_node).cast("bigint"))
+    others = _other_cells(rows, order, node)
+    if node is None:
+        others = F.broadcast(others)  # one row per cell of a split group
+    joined = numbered.join(others, F.col(CELL) == F.col("_w_of_cell"), "left")
+    zero = F.lit(0).cast("bigint")
+
+    def later(field: str) -> Column:
+        return F.coalesce(F.col(_LATER)[field], zero)
+
+    last_timed = has_time & ~F.coalesce("_w_next", F.lit(False)) & (later("timed") == 0)
+    no_time = ~F.col("_w_first") & (later("any_timed") == 0)
+    last = last_timed | (no_time & F.col("_w_next").isNull() & (later("rows") == 0))
+    made = {}
+    if flow is not None:
+        made[flow] = F.col("_w_place") + F.coalesce(_EARLIER, zero)
+    if flag is not None:
+        made[flag] = F.when(last, F.lit("Yes")).otherwise(F.lit("Other"))
+    if iterations is not None:
+        earlier = F.col("_w_nodes")[F.struct(F.col(node).alias("_w_node"))]
+        made[iterations[1]] = F.col("_w_of_node") + F.coalesce(earlier, zero)
+    kept = [c for c in columns if c not in made]
+    return joined.select(*[F.col(f"`{c}`") for c in kept], *[value.alias(name) for name, value in made.items()])
 
 
 def sequence(
@@ -83,11 +121,11 @@ def sequence(
     order: str,
     tiebreak: Sequence[str],
     name: str = "stage_flow",
-    cut: Column | None = None,
+    like: DataFrame | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Position 1..n of each row within ``keys``, by ``order`` ascending."""
-    split = cut is not None
-    return _cut_by(df, cut, lambda rows: _number(rows, keys, order, tiebreak, name, split))
+    return _number(df, keys, order, tiebreak, like, ranges, flow=name)
 
 
 def iteration(
@@ -97,10 +135,11 @@ def iteration(
     order: str,
     tiebreak: Sequence[str],
     name: str = "node_iteration",
-    cut: Column | None = None,
+    like: DataFrame | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """How often the value in ``node`` has occurred within ``keys`` up to this row."""
-    return sequence(df, [*keys, node], order, tiebreak, name, cut)
+    return sequence(df, [*keys, node], order, tiebreak, name, like, ranges)
 
 
 def latest_flag(
@@ -109,20 +148,15 @@ def latest_flag(
     order: str,
     tiebreak: Sequence[str],
     name: str = "is_latest",
-    cut: Column | None = None,
+    like: DataFrame | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """``'Yes'`` on the newest row of each group, ``'Other'`` on the rest.
 
     The newest row is the last one with a time, or the last one of a group
     without any.
     """
-    split = cut is not None
-
-    def step(rows: DataFrame) -> DataFrame:
-        rows = _number(rows, keys, order, tiebreak, "_position", split)
-        return _flag_latest(rows, keys, order, "_position", name, split).drop("_position")
-
-    return _cut_by(df, cut, step)
+    return _number(df, keys, order, tiebreak, like, ranges, flag=name)
 
 
 def number_stages(
@@ -131,17 +165,13 @@ def number_stages(
     node: str,
     order: str,
     tiebreak: Sequence[str],
-    cut: Column | None = None,
+    like: DataFrame | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """``sequence``, ``iteration`` and ``latest_flag`` at once.
+    """``sequence``, ``iteration`` and ``latest_flag`` at once, over one exchange of the rows.
 
-    Without ``cut`` the windows share one exchange, and the flag needs no sort of its own.
+    A group's numbers per node are kept per cell, as a map of the nodes in it.
     """
-    split = cut is not None
-
-    def step(rows: DataFrame) -> DataFrame:
-        rows = _number(rows, keys, order, tiebreak, "stage_flow", split)
-        rows = _flag_latest(rows, keys, order, "stage_flow", "is_latest", split)
-        return _number(rows, [*keys, node], order, tiebreak, "node_iteration", split)
-
-    return _cut_by(df, cut, step)
+    return _number(
+        df, keys, order, tiebreak, like, ranges, "stage_flow", "is_latest", (node, "node_iteration")
+    )

@@ -48,14 +48,18 @@ def latest_attribute(
     return newest.select(key, ordered.alias(attribute))
 
 
+def attach_latest(df: DataFrame, newest: DataFrame) -> DataFrame:
+    """Replace an attribute by its value in a table of ``latest_attribute``; a NULL key gets NULL."""
+    key, attribute = newest.columns
+    named = newest.select(F.col(key).alias("_key"), F.col(attribute).alias("_newest"))
+    joined = df.join(named, F.col(key) == F.col("_key"), "left")
+    return joined.withColumn(attribute, F.col("_newest")).drop("_key", "_newest")
+
+
 def attach_latest_attribute(df: DataFrame, key: str, attribute: str, order: str) -> DataFrame:
     """Replace ``attribute`` by its newest value per key; a NULL key gets NULL.
 
     Spark picks the join by the size of the table of values, and splits keys
     with many rows where that is shuffled.
     """
-    newest = latest_attribute(df, key, attribute, order).select(
-        F.col(key).alias("_key"), F.col(attribute).alias("_newest")
-    )
-    joined = df.join(newest, F.col(key) == F.col("_key"), "left")
-    return joined.withColumn(attribute, F.col("_newest")).drop("_key", "_newest")
+    return attach_latest(df, latest_attribute(df, key, attribute, order))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch_to_local, json_scalar, ms_to_seconds
 from ..operators import (
-    attach_latest_attribute,
+    attach_latest,
+    latest_attribute,
     latest_by,
     number_stages,
     remap_values,
@@ -49,15 +50,15 @@ def stage_history(
     min_year: str | None = MIN_YEAR,
     labels: Mapping[str, Sequence[str]] = STAGE_LABELS,
     offset_s: int | None = None,
-    split_days: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Newest version of each log with stage order, iteration number and latest flag.
 
     Organizations and projects are tested independently of each other. The
     project name is the newest of its project among the newest versions.
 
-    ``split_days`` numbers each task day by day, for tasks too large to be sorted
-    in one Spark task; the result is the same.
+    Tasks too large for one Spark task are numbered in ``ranges`` of their logs, as many
+    as there are shuffle partitions by default.
     """
     scoped = scope(from_year(logs, min_year), pairs, mode="independent")
     needed = scoped.select(
@@ -67,8 +68,7 @@ def stage_history(
         "blurduration", "number_of_pages",
     )
     newest = latest_by(needed, VERSION_KEY, "updatedat")
-    named = attach_latest_attribute(newest, "project_id", "projectname", "updatedat")
-    stages = named.withColumns(
+    stages = newest.withColumns(
         {
             "batch_name": json_scalar(F.col("batch_details"), "$[0].batch_name"),
             "stagename": remap_values(F.col("stagename"), labels),
@@ -78,8 +78,12 @@ def stage_history(
             "blurduration_sec": ms_to_seconds(F.col("blurduration")),
         }
     ).select(*COLUMNS)
-    day = F.to_date("updatedat_date") if split_days else None
+    # All versions are spread like the newest, and cheaper to sample.
+    versions = scoped.select(
+        *TASK_KEY, epoch_to_local(F.col("updatedat"), offset=offset_s).alias("updatedat_date"), "document_id"
+    )
     numbered = number_stages(
-        stages, TASK_KEY, "stagename", "updatedat_date", ["document_id"], day
+        stages, TASK_KEY, "stagename", "updatedat_date", ["document_id"], versions, ranges
     )
-    return numbered.select(*COLUMNS, "stage_flow", "node_iteration", "is_latest")
+    named = attach_latest(numbered, latest_attribute(newest, "project_id", "projectname", "updatedat"))
+    return named.select(*COLUMNS, "stage_flow", "node_iteration", "is_latest")
