@@ -20,8 +20,14 @@ def regroup(df: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFram
     return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-# Exponents of two that one bin of an exact sum spans.
-_SPAN = 32
+# Exponents of two that one bin of an exact sum spans, and the bits of a double.
+_SPAN, _BITS = 32, 53
+
+
+def _scaled(x: Column, exponent: Column) -> Column:
+    """``x`` times two to the power of ``exponent``, in two factors that stay within a double."""
+    half = F.floor(exponent / F.lit(2))
+    return x * F.pow(F.lit(2.0), half.cast("double")) * F.pow(F.lit(2.0), (exponent - half).cast("double"))
 
 
 def exact_totals(df: DataFrame, value: str, keys: Sequence[str], name: str) -> DataFrame:
@@ -29,8 +35,7 @@ def exact_totals(df: DataFrame, value: str, keys: Sequence[str], name: str) -> D
 
     Doubles are cut into two whole numbers on the scale of their size; these
     are added without rounding, and only the few sums of a key are added as
-    doubles, from the small to the large. What is below 2 to the power of -960 is dropped.
-    NaN and infinities add up as usual. Other types are added as they are.
+    doubles, from the small to the large. The least doubles count like the others. NaN and infinities add up as usual. Other types are added as they are.
     """
     if dict(df.dtypes)[value] not in ("double", "float"):
         return df.groupBy(*keys).agg(F.sum(value).cast("double").alias(name))
@@ -39,9 +44,9 @@ def exact_totals(df: DataFrame, value: str, keys: Sequence[str], name: str) -> D
     finite = F.when(~odd, x)
     size = F.floor(F.log2(F.abs(finite)) / F.lit(float(_SPAN))).cast("int")
     # zero has no logarithm and fits in any bin
-    bins = F.greatest(F.coalesce(F.when(finite != 0, size), F.lit(0)), F.lit(-29))
+    bins = F.coalesce(F.when(finite != 0, size), F.lit(0))
     parts = df.select(*keys, x.alias("_x"), odd.alias("_odd"), finite.alias("_finite"), bins.alias("_bin"))
-    scaled = F.col("_finite") * F.pow(F.lit(2.0), F.lit(52.0) - F.lit(float(_SPAN)) * F.col("_bin"))
+    scaled = _scaled(F.col("_finite"), F.lit(_BITS) - F.lit(_SPAN) * F.col("_bin"))
     high = F.floor(scaled / F.lit(2.0**32))
     low = F.floor(scaled - high.cast("double") * F.lit(2.0**32))
     per_bin = parts.groupBy(*keys, "_bin").agg(
@@ -50,7 +55,7 @@ def exact_totals(df: DataFrame, value: str, keys: Sequence[str], name: str) -> D
         F.sum(F.when(F.col("_odd"), F.col("_x"))).alias("_special"),
     )
     whole = F.col("_high").cast("double") * F.lit(2.0**32) + F.col("_low").cast("double")
-    sized = whole * F.pow(F.lit(2.0), F.lit(float(_SPAN)) * F.col("_bin") - F.lit(52.0))
+    sized = _scaled(whole, F.lit(_SPAN) * F.col("_bin") - F.lit(_BITS))
     entry = F.when(whole.isNotNull(), F.struct(F.col("_bin"), sized.alias("_sized")))
     collected = per_bin.groupBy(*keys).agg(
         F.array_sort(F.collect_list(entry)).alias("_bins"), F.sum("_special").alias("_special")

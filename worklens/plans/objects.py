@@ -15,19 +15,21 @@ from ..functions import (
     strip_marker,
 )
 from ..operators import map_agg, per_object_minutes, scope
-from ..sources import RENAMES, rename_source
+from ..sources import RENAMES, from_year, rename_source
 from .defaults import OBJECT_CLASSES, OBJECT_TYPES
 
 DOCUMENT = ["organization_id", "project_id", "labeltaskid", "document_id"]
 
 
-def object_cells(stats: DataFrame, pairs: Sequence[tuple]) -> DataFrame:
+def object_cells(
+    stats: DataFrame, pairs: Sequence[tuple], min_year: str | None = None
+) -> DataFrame:
     """Time and object count per document, object type and class.
 
     An object touched by two workers counts twice. Two aggregates, both combined
     before their shuffle, so the rows of one large document are spread out.
     """
-    records = scope(rename_source(stats, RENAMES["time_stats"]), pairs)
+    records = scope(from_year(rename_source(stats, RENAMES["time_stats"]), min_year), pairs)
     # The report joins its parts on the document, so NULL keys have no result.
     known = records.where(F.col("batch").isNotNull() & F.col("document_id").isNotNull())
     rows = known.select(
@@ -56,13 +58,15 @@ def time_per_object(
     pairs: Sequence[tuple],
     classes: Sequence[str] = OBJECT_CLASSES,
     object_types: Sequence[str] = OBJECT_TYPES,
+    min_year: str | None = None,
 ) -> DataFrame:
     """Shares of time and object counts per class and object type, minutes per object.
 
     One scan, no join. Shares are taken among labelled rows, the duration
     includes unlabelled time; a document without any label has no row. Where a
     class occurs under several object types, the smallest type's figures are
-    kept. Minutes use the share after its rounding to two decimals.
+    kept. Minutes use the share after its rounding to two decimals. ``min_year`` leaves
+    out earlier years of a table with a ``year``.
 
     A document's classes and types end up in one row by definition; the windows
     run on one row per document, type and class, no more than that result holds.
@@ -76,7 +80,7 @@ def time_per_object(
         .orderBy("object_type")
         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
-    cells = object_cells(stats, pairs).withColumns(
+    cells = object_cells(stats, pairs, min_year).withColumns(
         {
             "_time": F.when(labelled, F.col("timespent")),
             "_objects": F.when(labelled, F.col("object_count")),

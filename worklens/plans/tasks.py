@@ -9,18 +9,22 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch_to_local, strip_marker
 from ..operators import scope
-from ..sources import RENAMES, rename_source
+from ..sources import RENAMES, from_year, rename_source
 
 
 def task_rollup(
-    tasks: DataFrame, pairs: Sequence[tuple], offset_ms: int | None = None
+    tasks: DataFrame,
+    pairs: Sequence[tuple],
+    offset_ms: int | None = None,
+    min_year: str | None = None,
 ) -> DataFrame:
     """First start, last end, summed duration and highest frame number per worker and document.
 
     One scan and one aggregate. The duration is a plain sum in the unit of
     ``active_time``. A sequence number that is not an integer is an error.
+    ``min_year`` leaves out earlier years of a table with a ``year``.
     """
-    sessions = scope(rename_source(tasks, RENAMES["task_sessions"]), pairs)
+    sessions = scope(from_year(rename_source(tasks, RENAMES["task_sessions"]), min_year), pairs)
     # A shift and a cut to the second keep the order, so the least and greatest
     # epoch numbers are converted once per group instead of once per row.
     start, end = F.min("start_timestamp"), F.max("timestamp")
