@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import filled, saved, slices, text_bytes
-from .tokens import blank_before
+from .tokens import blank_before, spread
 
 #: Bytes of segments and their ids that a worker keeps; beyond, only those of the texts at hand stay.
 KEPT_BYTES = 64_000_000
@@ -79,9 +79,7 @@ class Ids:
     def of(self, places: np.ndarray) -> np.ndarray:
         """The ids of all ``places``, end to end."""
         first = self.ends[places]
-        size = self.ends[places + 1] - first
-        at = np.cumsum(size)
-        return self.ids[np.repeat(first - (at - size), size) + np.arange(at[-1] if len(at) else 0)]
+        return self.ids[spread(first, self.ends[places + 1] - first)]
 
 
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:

@@ -2,13 +2,15 @@
 
 Tables that cut a lineage are written to the folder the session names in
 ``spark.checkpoint.dir``; only a local session without one gets a temporary
-folder. ``drop`` removes a table once nothing reads it, ``drop_at_exit`` those a
-lazy result still needs.
+folder. ``drop`` removes a table once nothing reads it; those that a lazy result
+still needs are removed when the program ends.
 """
 
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -86,8 +88,18 @@ def filled(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on from one stage to the next."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches into runs of rows with about ``most`` bytes of text, one row at least."""
+    """Cut batches into runs of rows with about ``most`` bytes of text, one row at least.
+
+    At the end of the batches, memory that the task no longer uses is given back.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -99,6 +111,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES
             end = max(at + 1, int(np.searchsorted(total, base + most, "right")))
             yield batch.slice(at, end - at)
             at = end
+    give_back()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

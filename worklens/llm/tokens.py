@@ -5,25 +5,26 @@ space, and in front of a punctuation mark that follows a letter of ASCII. Both
 public BPE tokenizers used here split a text at such places before they merge,
 and none of their special tokens has such a place inside, so the ids of the
 pieces in a row are the ids of the text. A Python worker keeps the ids of pieces
-it has met, up to ``KEPT_PIECES``.
+it has met, up to ``KEPT_BYTES`` of them; beyond, those of the texts at hand stay.
 """
 
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 from .common import byte_set, text_bytes
 
 #: Text bytes encoded at once.
-ENCODE_BYTES = 12_000_000
+ENCODE_BYTES = 2_000_000
 #: Pieces handed to the tokenizer at once.
 ENCODE_PIECES = 10_000
-#: Pieces whose ids a worker keeps; beyond, it starts anew.
-KEPT_PIECES = 1_500_000
+#: Bytes of pieces and their ids that a worker keeps.
+KEPT_BYTES = 48_000_000
+_ENTRY = 180  # bytes of a short string and its place in a dictionary
 
 _MARK = byte_set(*b".,;:!?()[]{}\"'*$%&#-/")
 _CUT = byte_set(0x20, 0x0A) | _MARK
@@ -51,6 +52,12 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.sort(np.concatenate([spot[~edge[spot]], np.sort(texts)]), kind="stable")
 
 
+def spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``first .. first + size - 1`` of each run, end to end."""
+    at = np.cumsum(sizes)
+    return np.repeat(first - (at - sizes), sizes) + np.arange(at[-1] if len(at) else 0)
+
+
 class Encoder:
     """Ids of pieces, each encoded once."""
 
@@ -64,35 +71,44 @@ class Encoder:
 
     def forget(self) -> None:
         # The empty piece stands for the end of a text.
-        self.known = pa.array([""], pa.large_string())
+        self.place: dict[str, int] = {"": 0}
         self.ids = np.array([self.end_id], np.uint32)
         self.ends = np.array([0, 1], np.int64)
+        self.kept_bytes = 0
+
+    def _add(self, pieces: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        first = len(self.ends) - 1
+        self.place.update(zip(pieces, range(first, first + len(pieces)), strict=True))
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        self.kept_bytes += _ENTRY * len(pieces) + sum(map(len, pieces)) + 4 * len(ids)
+
+    def _keep_only(self, pieces: list[str]) -> None:
+        """Forget all pieces but these."""
+        kept = [p for p in pieces if p and p in self.place]
+        at = np.fromiter(map(self.place.__getitem__, kept), np.int64, len(kept))
+        first, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
+        ids = self.ids[spread(first, sizes)]
+        self.forget()
+        self._add(kept, sizes, ids)
 
-    def learn(self, pieces: pa.Array) -> np.ndarray:
+    def learn(self, pieces: list[str]) -> np.ndarray:
         """Places of the distinct ``pieces`` among the known ones."""
-        if len(self.known) + len(pieces) > KEPT_PIECES + 1:
-            self.forget()
-        place = pc.index_in(pieces, value_set=self.known)
-        if place.null_count:
-            new = pieces.filter(pc.is_null(place))
-            sizes, more = self._encoded(new)
-            fresh = np.arange(len(self.known), len(self.known) + len(new))
-            self.known = pa.concat_arrays([self.known, new])
-            self.ids = np.concatenate([self.ids, more])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-            at = pc.fill_null(place, -1).to_numpy().astype(np.int64)
-            at[at < 0] = fresh
-            return at
-        return place.to_numpy().astype(np.int64)
-
-    def _encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if self.kept_bytes > KEPT_BYTES:
+            self._keep_only(pieces)
+        get = self.place.get
+        if new := [p for p in pieces if get(p) is None]:
+            self._add(new, *self._encoded(new))
+        return np.fromiter(map(get, pieces), np.int64, len(pieces))
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of ids, and the ids end to end; some pieces at a time, as their encodings are large."""
         sizes, flat = [], []
         for k in range(0, len(pieces), ENCODE_PIECES):
-            part = pieces.slice(k, ENCODE_PIECES).to_pylist()
+            part = pieces[k : k + ENCODE_PIECES]
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-            flat.append(np.fromiter((i for x in ids for i in x), np.uint32, int(sizes[-1].sum())))
+            flat.append(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes[-1].sum())))
         return np.concatenate(sizes), np.concatenate(flat)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -104,15 +120,11 @@ class Encoder:
         texts = pa.LargeStringArray.from_buffers(
             len(starts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))
         ).dictionary_encode()
-        codes = self.learn(texts.dictionary)[texts.indices.to_numpy()]
-        first = self.ends[codes]
-        at = np.zeros(len(codes) + 1, np.int64)
-        np.cumsum(self.ends[codes + 1] - first, out=at[1:])
-        source = np.repeat(first - at[:-1], np.diff(at))
-        source += np.arange(at[-1])
+        codes = self.learn(texts.dictionary.to_pylist())[texts.indices.to_numpy()]
+        first, sizes = self.ends[codes], self.ends[codes + 1] - self.ends[codes]
         # a text ends where its empty piece does
         closing = np.flatnonzero(bounds[:-1] == bounds[1:])
-        return self.ids[source], np.append(0, at[closing + 1])
+        return self.ids[spread(first, sizes)], np.append(0, np.cumsum(sizes)[closing])
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
