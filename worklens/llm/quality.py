@@ -1,7 +1,8 @@
 """Quality classifier: document evidence with hierarchical empirical Bayes over sites.
 
 Two logistic models, for low quality and for toxicity, are fitted on a bounded
-sample of labelled documents (``SAMPLE``, the least hashes of the ids). Their
+sample of labelled documents (``SAMPLE``, the least hashes of the ids). Each text of an
+id counts once, however many rows hold it, and an id with several labels is bad if one says so. Their
 features are shares of characters and words, and the presence of words chosen
 by a chi-squared test. Every document gets the probability that it is bad.
 Spark sums these probabilities per path and host; the spread between sites
@@ -10,8 +11,8 @@ its host and a sparse host to the global rate. A document's evidence is combined
 with the rate of its path, itself left out, and it is kept below ``REJECT``.
 
 Null text counts as empty; a text without words is bad. A null host or path is
-a site of its own. Repeated rows are judged alike, each on its own. An empty table
-gives no rows. Without labels of both kinds a model finds nothing bad.
+a site of its own. Repeated rows are judged alike, each on its own; texts of any length are
+judged whole. An empty table gives no rows. Without labels of both kinds a model finds nothing bad.
 """
 
 from __future__ import annotations
@@ -130,14 +131,17 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, steps: int = 25) ->
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
     """Fit both models; ``labels`` has ``doc_id``, ``quality`` and ``toxic``."""
+    known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
     chosen = (
-        labels.where(F.col("doc_id").isNotNull())
-        .select("doc_id", (F.col("quality") == 0).alias("low"), (F.col("toxic") == 1).alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "low", "toxic")
+        known.agg(F.max(F.col("quality") == 0).alias("low"), F.max(F.col("toxic") == 1).alias("toxic"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
-    # At most SAMPLE rows of an id and two flags: bounded whatever the tables' size.
-    labelled = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
+    # At most ``sample`` rows of an id and two flags, and of an id and a hash: bounded whatever the tables' size.
+    texts = docs.select("doc_id", F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("hash"))
+    texts = texts.join(F.broadcast(chosen), "doc_id")
+    picks = texts.select("doc_id", "hash").distinct().orderBy(F.xxhash64("doc_id", "hash"), "doc_id", "hash").limit(sample)
+    labelled = texts.join(F.broadcast(picks), ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash"])
 
     def described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
