@@ -1,13 +1,14 @@
 """Personal data by patterns, and by contexts bootstrapped from what they find.
 
 Emails, IP addresses, card and phone numbers that pass their tests are the seed
-entities. The word before and the word after an entity are its lexical patterns.
+entities. The word before and the word after an entity are its lexical patterns, and so is
+its own shape: runs of digits with their length, runs of letters, and the marks between.
 Other tokens that look like identifiers are candidates, with their patterns.
-Spark scores the graph of patterns and instances in rounds: a pattern's
-confidence is the share of all the word's occurrences in the corpus that stand
-by an entity of the kind, a candidate's score is the mean confidence of its
-patterns and counts for its patterns in the next round. Candidates beside a pattern of
-high confidence, which several different seeds support, are entities too.
+Spark scores the graph of patterns and instances in rounds. A word's confidence is the share of all its
+occurrences in the corpus that stand by an entity of the kind; a shape's is the share of
+seeds among all tokens of that shape that look like identifiers. Candidates in a pattern of high
+confidence, which several different instances support, become entities of the kind, and the words
+beside them patterns of the next round. What the last round's patterns reveal is returned.
 
 Null text counts as empty: no entities. Copies of a text count as often as they
 occur, but support a pattern once. An empty table gives no rows. Other columns are not read.
@@ -30,14 +31,17 @@ from .secrets import address
 #: The kinds in the order reports list them.
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
-#: Distinct seeds that must support a pattern, and the confidence it needs.
+#: Distinct entities that must support a pattern, and the confidence it needs.
 SUPPORT = 3
 CONFIDENCE = 0.5
+#: The same for shapes. One run of digits in ten passes a card's test by chance; where three
+#: in ten do, the others are mostly cards with a wrong digit.
+SHAPE_CONFIDENCE = 0.3
 #: Occurrences without an entity that every pattern is given beforehand.
 PRIOR = 2.0
 
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
-MENTIONS = "array<struct<kind:string,start:bigint,end:bigint,instance:bigint,before:bigint,after:bigint>>"
+MENTIONS = "array<struct<kind:string,start:bigint,end:bigint,instance:bigint,before:bigint,after:bigint,shape:bigint>>"
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -47,6 +51,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 _WORD = re.compile(r"[A-Za-z0-9\u0080-\U0010ffff]+")
+_RUN = re.compile(r"[0-9]+|[A-Za-z\u0080-\U0010ffff]+")
 #: Characters beside an entity in which its neighbours are looked for.
 _WINDOW = 100
 
@@ -116,6 +121,11 @@ def _neighbours(text: str, start: int, end: int) -> tuple[str, str]:
     return before, after
 
 
+def _shape(token: str) -> str:
+    """Runs of digits by their length, runs of letters, and marks as they are."""
+    return _RUN.sub(lambda m: f"9{len(m[0])}" if m[0][0] in "0123456789" else "a", token)
+
+
 def _hashed(texts: list[str]) -> list[int | None]:
     """The words' hashes as ``words`` gives them; None for no word."""
     data, offsets = text_bytes(pa.array(texts, pa.large_string()))
@@ -127,7 +137,7 @@ def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document with seeds and mentions, and at the end one with the word counts."""
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
     mention = pa.struct(
-        [*span, *((n, pa.int64()) for n in ("instance", "before", "after"))]
+        [*span, *((n, pa.int64()) for n in ("instance", "before", "after", "shape"))]
     )
     names = ["doc_id", "blob", "spans", "mentions", "words", "counts"]
     seen, often = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -144,14 +154,14 @@ def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = find(text)
             spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
             both = [*found, *((None, a, b) for a, b in _candidates(text, found))]
-            rows = [(k, a, b, text[a:b], *_neighbours(text, a, b)) for k, a, b in both]
+            rows = [(k, a, b, text[a:b], *_neighbours(text, a, b), _shape(text[a:b])) for k, a, b in both]
             kept.append(rows)
         flat = [r for rows in kept for r in rows]
-        instance, before, after = (_hashed([r[i] for r in flat]) for i in (3, 4, 5))
+        hashed = (_hashed([r[i] for r in flat]) for i in (3, 4, 5, 6))
         at = np.cumsum([0, *map(len, kept)])
         listed = [
-            {"kind": r[0], "start": r[1], "end": r[2], "instance": i, "before": b, "after": a}
-            for r, i, b, a in zip(flat, instance, before, after, strict=True)
+            {"kind": r[0], "start": r[1], "end": r[2], "instance": i, "before": b, "after": a, "shape": s}
+            for r, i, b, a, s in zip(flat, *hashed, strict=True)
         ]
         none = pa.nulls(batch.num_rows, pa.list_(pa.int64()))
         yield pa.record_batch(
@@ -192,92 +202,82 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     return saved(rows.mapInArrow(_scan, schema), "pii-scan")
 
 
-def patterns(scanned: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT) -> DataFrame:
-    """``pattern, kind, confidence`` of the patterns that enough seeds support.
+def _patterns_of(mentions: DataFrame) -> DataFrame:
+    """A row per mention and pattern: what the mentions have, ``side`` and ``word``."""
+    sides = F.array(
+        *(F.struct(F.lit(side).alias("side"), F.col(f"m.{side}").alias("word")) for side in ("before", "after", "shape"))
+    )
+    return mentions.withColumn("s", F.explode(sides)).where(F.col("s.word").isNotNull())
+
+
+def patterns(
+    scanned: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE
+) -> DataFrame:
+    """``side, word, kind, confidence`` of the patterns of high confidence.
 
     Every step is a join or an aggregate over mentions, which are few beside the
-    texts; each round's candidate scores are written, so a round never repeats another.
+    texts; each round's new entities are written, so a round never repeats another.
     """
-    mentions = scanned.where(F.size("mentions") > 0).select("blob", F.explode("mentions").alias("m"))
-    sides = F.array(
-        F.struct(F.lit("before").alias("side"), F.col("m.before").alias("word")),
-        F.struct(F.lit("after").alias("side"), F.col("m.after").alias("word")),
-    )
+    mentions = scanned.where(F.size("mentions") > 0).select(F.explode("mentions").alias("m"))
     edges = saved(
-        mentions.select(F.col("m.kind").alias("kind"), F.col("m.instance").alias("instance"), F.explode(sides).alias("s"))
-        .where(F.col("s.word").isNotNull())
-        .groupBy("s.side", "s.word", "instance", "kind")
+        _patterns_of(mentions)
+        .groupBy("s.side", "s.word", "m.instance", "m.kind")
         .agg(F.count(F.lit(1)).cast("double").alias("n")),
         "pii-edges",
         keep=False,
     )
-    seeds = edges.where(F.col("kind").isNotNull())
-    # Seeds a candidate round could never reach need no totals.
-    strong = saved(
-        seeds.groupBy("side", "word", "kind")
-        .agg(F.sum("n").alias("hits"), F.count(F.lit(1)).alias("supports"))
-        .where(F.col("supports") >= support),
-        "pii-strong",
-        keep=False,
-    )
-    totals = (
+    beside = edges.where("side <> 'shape'").select("word").distinct()
+    in_corpus = (
         scanned.where(F.col("words").isNotNull())
         .select(F.explode(F.arrays_zip("words", "counts")).alias("w"))
         .groupBy(F.col("w.words").alias("word"))
         .agg(F.sum("w.counts").alias("total"))
+        .join(beside, "word", "left_semi")
+        .select(F.explode(F.array(F.lit("before"), F.lit("after"))).alias("side"), "word", F.col("total").cast("double"))
     )
-    known = saved(strong.join(totals, "word"), "pii-patterns", keep=False)
-    candidates = saved(
-        edges.where(F.col("kind").isNull()).drop("kind").join(known.select("side", "word").distinct(), ["side", "word"]),
-        "pii-candidates",
-        keep=False,
-    )
-    gained, last = None, None
+    of_shape = edges.where("side = 'shape'").groupBy("side", "word").agg(F.sum("n").alias("total"))
+    totals = saved(in_corpus.unionByName(of_shape), "pii-totals", keep=False)
+    seeds, others = edges.where(F.col("kind").isNotNull()), edges.where(F.col("kind").isNull()).drop("kind")
+    entities, written = seeds, []
     for _ in range(rounds):
-        scored = known if gained is None else known.join(gained, ["side", "word", "kind"], "left")
-        extra = F.lit(0.0) if gained is None else F.coalesce(F.col("gain"), F.lit(0.0))
-        scored = scored.select(
-            "side", "word", "kind",
-            (F.least(F.col("hits") + extra, F.col("total")) / (F.col("total") + F.lit(PRIOR))).alias("confidence"),
+        supported = (
+            entities.groupBy("side", "word", "kind")
+            .agg(F.sum("n").alias("hits"), F.count(F.lit(1)).alias("supports"))
+            .where(F.col("supports") >= support)
         )
-        instances = (
-            candidates.join(scored, ["side", "word"])
-            .groupBy("instance", "kind")
-            .agg((F.sum(F.col("n") * F.col("confidence")) / F.sum("n")).alias("score"))
+        share = F.least("hits", "total") / (F.col("total") + F.lit(PRIOR))
+        needed = F.when(F.col("side") == "shape", F.lit(SHAPE_CONFIDENCE)).otherwise(F.lit(confidence))
+        good = (
+            supported.join(totals, ["side", "word"])
+            .select("side", "word", "kind", share.alias("confidence"))
+            .where(F.col("confidence") >= needed)
         )
-        next_gain = saved(
-            candidates.join(instances, "instance")
-            .groupBy("side", "word", "kind")
-            .agg(F.sum(F.col("n") * F.col("score")).alias("gain")),
-            "pii-gain",
-            keep=False,
+        good = saved(good, "pii-good", keep=False)
+        found = (
+            others.join(good, ["side", "word"])
+            .groupBy("instance")
+            .agg(F.max_by("kind", F.struct("confidence", "kind")).alias("kind"))
         )
-        if last is not None:
-            drop(last)
-        last, gained = gained, next_gain
-    result = saved(
-        scored.select(F.col("side"), F.col("word"), "kind", "confidence"), "pii-confidence"
-    )
-    for df in (edges, strong, known, candidates, gained, *([last] if last is not None else [])):
+        # Their shape is no evidence: only seeds have passed a test of what they are.
+        entities = seeds.unionByName(others.where("side <> 'shape'").join(found, "instance").select(*seeds.columns))
+        written.append(good)
+    result = saved(good, "pii-confidence")
+    for df in (edges, totals, *written):
         drop(df)
     return result
 
 
 def discovered(scanned: DataFrame, confidence: float = CONFIDENCE) -> DataFrame:
     """``blob, extra``: for each text the entities that contexts alone reveal, by kind and start."""
-    good = patterns(scanned).where(F.col("confidence") >= confidence)
+    good = patterns(scanned, confidence=confidence)
     mentions = (
         scanned.where(F.size("mentions") > 0)
         .select("blob", F.explode("mentions").alias("m"))
         .where(F.col("m.kind").isNull())
     )
-    sides = F.array(
-        F.struct(F.lit("before").alias("side"), F.col("m.before").alias("word")),
-        F.struct(F.lit("after").alias("side"), F.col("m.after").alias("word")),
-    )
     spans = (
-        mentions.select("blob", "m.start", "m.end", F.explode(sides).alias("s"))
-        .select("blob", "start", "end", "s.side", "s.word")
+        _patterns_of(mentions)
+        .select("blob", "m.start", "m.end", "s.side", "s.word")
         .join(good, ["side", "word"])
         .groupBy("blob", "start", "end")
         .agg(F.max_by("kind", F.struct("confidence", "kind")).alias("kind"))
