@@ -23,7 +23,7 @@ ENCODE_BYTES = 2_000_000
 #: Pieces handed to the tokenizer at once.
 ENCODE_PIECES = 10_000
 #: Bytes of pieces and their ids that a worker keeps.
-KEPT_BYTES = 48_000_000
+KEPT_BYTES = 160_000_000
 _ENTRY = 180  # bytes of a short string and its place in a dictionary
 
 _MARK = byte_set(*b".,;:!?()[]{}\"'*$%&#-/")
