@@ -11,15 +11,22 @@ with one anchor is its context.
    windows repeats.
 2. Contexts that are equal as a whole repeat as a whole; one of each kind goes on
    to be compared with the others of its gram.
-3. Each gram's windows are suffixes to sort, to a depth of ``LENGTH``: multikey
+3. A window has, beside its gram, one of two parts in whole: all that windows with an anchor in
+   their first half, or in their second, have in common. Each context is split there, and a part goes
+   on only if its common bytes, the core, occur in another part that is not equal to it as a whole. Equal
+   parts repeat as a whole, and one of each kind goes on. Every text takes this step, at every size.
+4. The windows of one core are suffixes to sort, to a depth of ``LENGTH``: multikey
    quicksort by words of eight bytes down to ``SHALLOW``, then blind tries, which
    compare a group with one member only, and split it by the length of the common
    prefix and the byte behind it. Suffixes that reach ``LENGTH`` together repeat.
+   A core of more than ``MEMBERS`` parts is first split once more, as in 3, and so on: each split halves the
+   windows of a part and lengthens its core, and parts of one window are equal or apart. So no task holds
+   a large group, and each context takes at most two parts per place where it differs from others, and split.
 
-Counts are combined before they move; joins on grams stand between plain
-shuffles, so that Spark can split a gram in a third of all texts. The windows of a
-gram with many contexts are counted one by one instead, by a digest of 128 bits, as contexts
-are, and no bytes of them move: so no bucket grows with a gram.
+Counts are combined before they move; joins on grams and cores stand between plain shuffles, so that Spark can
+split one in a third of all texts. Cores are compared by 64 bits, where a false match only sorts more,
+whole parts by 128 bits, whole contexts of one gram by 64. A text's contexts are one list in its row, so
+it grows with the longest text.
 
 Null text counts as empty; texts shorter than ``LENGTH`` stay whole, and an empty
 table gives no rows. Equal rows are texts of their own, and so repeat each other.
@@ -29,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import islice
 
 import numpy as np
@@ -43,11 +51,15 @@ from .jaccard import row_key
 LENGTH = 400
 GRAM = 48
 SHALLOW = 32
-#: Contexts of a gram beyond which its windows are counted by digest.
-CONTEXTS = 512
+#: Different parts with one core beyond which they are split once more before they are sorted.
+MEMBERS = 1000
+#: Windows of a context, by the distance from their start to the anchor, are 0 to ``LENGTH - GRAM``; that
+#: many halvings leave one. The first split is in the middle.
+SPLITS = (LENGTH - GRAM).bit_length()
+MARGIN = (2**SPLITS - (LENGTH - GRAM + 1)) // 2
 #: Bytes of a text in which anchors are looked for at once.
 SEGMENT = 8_000_000
-#: Windows sorted at once in a task, if they belong to several grams.
+#: Windows sorted at once in a task, if they belong to several cores.
 WINDOWS = 400_000
 
 
@@ -131,9 +143,8 @@ def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_contexts(rows: DataFrame) -> DataFrame:
     """For each text with a gram that occurs again, its contexts; written.
 
-    ``key, contexts``: of each ``first``, ``windows``, ``anchor``, ``gram``, whether it
-    occurs again as a whole (``again``), whether to compare it (``sent``), and the gram's
-    number of different contexts (``rivals``).
+    ``key, contexts``: of each ``first``, ``windows``, ``anchor``, whether it
+    occurs again as a whole (``again``), and whether to compare it (``sent``).
     """
     text = rows.select("text")
     grams = saved(
@@ -152,15 +163,14 @@ def repeated_contexts(rows: DataFrame) -> DataFrame:
     drop(kinds)
     drop(rivals)
     judged = found.join(known, ["gram", "content"]).select(
-        "key", "first", "windows", "anchor", "gram",
+        "key", "first", "windows", "anchor",
         (F.col("times") > 1).alias("again"),
         ((F.col("rivals") > 1) & (F.struct("key", "first") == F.col("lead"))).alias("sent"),
-        F.col("rivals"),
     ).where("again or sent")
     # as a set: equal rows of the table have the same key and the same contexts
     result = saved(
         judged.groupBy("key").agg(
-            F.collect_set(F.struct("first", "windows", "anchor", "gram", "again", "sent", "rivals")).alias("contexts")
+            F.collect_set(F.struct("first", "windows", "anchor", "again", "sent")).alias("contexts")
         ),
         "suffix-texts", keep=False,
     )
@@ -237,10 +247,10 @@ _BYTE_LIMITS = np.array([1 << 8 * k for k in range(8)], np.uint64)
 
 
 def _sorted_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Byte ranges that occur again, per text, from buckets sorted by gram."""
+    """Byte ranges that occur again, per text, from rows sorted by core."""
     held: list[pa.RecordBatch] = []
     size = 0
-    for batch in _whole_grams(batches):
+    for batch in _whole_cores(batches):
         held.append(batch)
         size += int(batch.column("windows").to_numpy().sum())
         if size >= WINDOWS:
@@ -250,25 +260,25 @@ def _sorted_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield from _ranges(held)
 
 
-def _whole_grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that no bucket lies in two."""
+def _whole_cores(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that no core lies in two."""
     rest: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        bucket = batch.column("bucket").to_numpy()
-        last = int(np.searchsorted(bucket, bucket[-1], "left"))
-        if last == 0 and rest and rest[-1].column("bucket")[-1].as_py() == bucket[0]:
+        core = batch.column("core").to_numpy()
+        last = int(np.searchsorted(core, core[-1], "left"))
+        if last == 0 and rest and rest[-1].column("core")[-1].as_py() == core[0]:
             rest.append(batch)
             continue
-        edges = np.append(np.flatnonzero(np.diff(bucket[:last])) + 1, last) if last else np.zeros(0, int)
+        edges = np.append(np.flatnonzero(np.diff(core[:last])) + 1, last) if last else np.zeros(0, int)
         at = 0
-        # groups of buckets of moderate size
+        # groups of cores of moderate size
         for e in edges:
             if e - at >= 256 or e == last:
                 piece = batch.slice(at, e - at)
                 if rest:
-                    if rest[-1].column("bucket")[-1].as_py() != bucket[at]:
+                    if rest[-1].column("core")[-1].as_py() != core[at]:
                         yield _one(rest)
                         rest = []
                     else:
@@ -276,7 +286,7 @@ def _whole_grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         rest = []
                 yield piece
                 at = e
-        if rest and rest[-1].column("bucket")[-1].as_py() != bucket[last]:
+        if rest and rest[-1].column("core")[-1].as_py() != core[last]:
             yield _one(rest)
             rest = []
         rest.append(batch.slice(last))
@@ -294,13 +304,12 @@ def _ranges(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = _one(batches)
     data, offsets = text_bytes_of(rows.column("bytes"))
     windows = rows.column("windows").to_numpy().astype(np.int64)
-    bucket, anchor = rows.column("bucket").to_numpy(), rows.column("anchor").to_numpy().astype(np.int64)
-    gram = rows.column("gram").to_numpy()
+    core, anchor = rows.column("core").to_numpy(), rows.column("anchor").to_numpy().astype(np.int64)
     context = np.repeat(np.arange(len(windows)), windows)
     step = np.arange(len(context)) - np.repeat(np.cumsum(windows) - windows, windows)
     starts = offsets[:-1][context] + step
-    # One group per gram and distance to the anchor: only such windows can be equal.
-    new = np.append(True, (bucket[1:] != bucket[:-1]) | (gram[1:] != gram[:-1]))
+    # One group per core and distance to the anchor: only such windows can be equal.
+    new = np.append(True, core[1:] != core[:-1])
     group = (np.cumsum(new) - 1)[context] * (LENGTH + 1) + anchor[context] - step
     found = np.flatnonzero(repeats(data, starts, group))
     if not len(found):
@@ -310,7 +319,7 @@ def _ranges(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = found[first], found[last]
     base = rows.column("first").to_numpy().astype(np.int64)
     which = context[a]
-    own = ~rows.column("again").to_numpy(zero_copy_only=False)[which]
+    own = rows.column("own").to_numpy(zero_copy_only=False)[which]
     yield pa.record_batch(
         [
             rows.column("key").take(pa.array(which[own])),
@@ -348,7 +357,7 @@ def _cut(raw: memoryview, ranges: list[tuple[int, int]]) -> tuple[int, int, str,
 
 
 _RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-_STATE = "key binary, contexts array<struct<first:int,windows:int,anchor:int,gram:bigint,again:boolean,sent:boolean,rivals:bigint>>, text string"
+_STATE = "key binary, contexts array<struct<first:int,windows:int,anchor:int,again:boolean,sent:boolean>>, text string"
 
 
 def _settled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,45 +389,122 @@ def _settled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sent(most: int):
-    """Map function: the bytes of the contexts to compare, but those of grams with more than ``most``."""
+_PART = "key binary, core bigint, whole binary, first int, windows int, anchor int, own boolean"
+_BYTES = "key binary, core bigint, first int, windows int, anchor int, own boolean, bytes binary"
 
-    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, c, view, base in _to_compare(batches):
-            if c["rivals"] <= most:
-                a = base + c["first"]
-                bytes_ = bytes(view[a : a + c["windows"] - 1 + LENGTH])
-                yield key, c["gram"], c["first"], c["windows"], c["anchor"], c["again"], bytes_
 
-    kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
-    return _batched(send, kinds, ["key", "gram", "first", "windows", "anchor", "again", "bytes"], 4096)
+def _parts(split: int):
+    """Map function: each run of windows in the parts that ``split`` halvings of the distances to the anchor make."""
+    shift = SPLITS - split
+
+    def part(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for key, run, view, base in _runs(batches):
+            x = base + run["first"] + run["anchor"]  # the anchor's place
+            far, near = run["anchor"], run["anchor"] - run["windows"] + 1  # distances of the first and last window
+            for number in range((near + MARGIN) >> shift, ((far + MARGIN) >> shift) + 1):
+                least = max((number << shift) - MARGIN, 0)
+                most = min(((number + 1) << shift) - 1 - MARGIN, LENGTH - GRAM)
+                top, low = min(far, most), max(near, least)
+                # the place beside the bytes: equal parts lie alike around their anchors
+                core = hashlib.blake2b(view[x - least : x - most + LENGTH], digest_size=8, salt=b"%d" % number).digest()
+                whole = hashlib.blake2b(view[x - top : x - low + LENGTH], digest_size=16, salt=b"%d" % top).digest()
+                yield key, int.from_bytes(core, "little", signed=True), whole, x - top - base, top - low + 1, top, run["own"]
+
+    kinds = (pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())
+    return _batched(part, kinds, ["key", "core", "whole", "first", "windows", "anchor", "own"], 32_768)
 
 
-def _windows(most: int):
-    """Map function: digest and place of each window of grams with more than ``most`` contexts."""
+def _bytes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the parts to sort."""
 
-    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, c, view, base in _to_compare(batches):
-            if c["rivals"] > most:
-                for first in range(c["first"], c["first"] + c["windows"]):
-                    window = view[base + first : base + first + LENGTH]
-                    yield hashlib.blake2b(window, digest_size=16).digest(), key, first, not c["again"]
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for key, run, view, base in _runs(batches):
+            a = base + run["first"]
+            bytes_ = bytes(view[a : a + run["windows"] - 1 + LENGTH])
+            yield key, run["core"], run["first"], run["windows"], run["anchor"], run["own"], bytes_
 
-    kinds = (pa.binary(), pa.binary(), pa.int32(), pa.bool_())
-    return _batched(send, kinds, ["digest", "key", "first", "own"], 65_536)
+    kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+    return _batched(send, kinds, ["key", "core", "first", "windows", "anchor", "own", "bytes"], 4096)(batches)
 
 
-def _to_compare(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, dict, memoryview, int]]:
-    """Contexts to compare: the text's key, the context, the bytes around, where the text starts there."""
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, dict, memoryview, int]]:
+    """Runs of windows: the text's key, the run, the bytes around, where the text starts there."""
     for batch in slices(batches, "text"):
         data, offsets = text_bytes(batch.column("text"))
         view = memoryview(np.ascontiguousarray(data))
-        for key, found, base in zip(
-            batch.column("key").to_pylist(), batch.column("contexts").to_pylist(), offsets[:-1].tolist(), strict=True
+        for key, runs, base in zip(
+            batch.column("key").to_pylist(), batch.column("runs").to_pylist(), offsets[:-1].tolist(), strict=True
         ):
-            for c in found:
-                if c["sent"]:
-                    yield key, c, view, base
+            for run in runs:
+                yield key, run, view, base
+
+
+def _judged(parts: DataFrame) -> DataFrame:
+    """Parts that repeat as a whole (``again``) or may in part (``open``), and how many kinds have their core; written."""
+    kinds = saved(
+        parts.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("key", "first")).alias("lead")),
+        "suffix-part-kinds", keep=False,
+    )
+    rivals = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("rivals"))
+    known = saved(kinds.join(rivals, "core").where("times > 1 or rivals > 1"), "suffix-part-known", keep=False)
+    drop(kinds)
+    result = saved(
+        parts.join(known, ["core", "whole"]).select(
+            "key", "core", "first", "windows", "anchor", "own", "rivals",
+            (F.col("times") > 1).alias("again"),
+            ((F.col("rivals") > 1) & (F.struct("key", "first") == F.col("lead"))).alias("open"),
+        ).where("again or open"),
+        "suffix-judged", keep=False,
+    )
+    drop(known)
+    return result
+
+
+def _with_runs(texts: DataFrame, parts: DataFrame) -> DataFrame:
+    """Texts with the parts that go on; what repeats as a whole needs no range of its own any more."""
+    run = F.struct("core", "first", "windows", "anchor", (F.col("own") & ~F.col("again")).alias("own"))
+    return texts.join(parts.groupBy("key").agg(F.collect_set(run).alias("runs")), "key")
+
+
+def repeated_ranges(texts: DataFrame) -> DataFrame:
+    """Byte ranges ``key, start, end`` of ``key, contexts, text`` that repeat in a part of a context; written."""
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = F.filter("contexts", lambda c: c["sent"])
+    runs = texts.select(
+        "key", "text",
+        F.transform(
+            sent,
+            lambda c: F.struct(
+                c["first"].alias("first"), c["windows"].alias("windows"), c["anchor"].alias("anchor"), (~c["again"]).alias("own")
+            ),
+        ).alias("runs"),
+    )
+    texts = texts.select("key", "text")
+    steps: list[DataFrame] = []
+    while len(steps) < SPLITS:
+        found = saved(runs.mapInArrow(_parts(len(steps) + 1), _PART), "suffix-parts", keep=False)
+        steps.append(_judged(found))
+        drop(found)
+        crowded = steps[-1].where(F.col("open") & (F.col("rivals") > MEMBERS))
+        if crowded.isEmpty():
+            break
+        runs = _with_runs(texts, crowded)
+    judged = reduce(DataFrame.unionByName, steps)
+    first = F.col("first").cast("long")
+    alike = judged.where("again and own").select(
+        "key", first.alias("start"), (first + F.col("windows") - 1 + LENGTH).alias("end")
+    )
+    sorted_ = (
+        _with_runs(texts, judged.where(F.col("open") & (F.col("rivals") <= MEMBERS)))
+        .mapInArrow(_bytes, _BYTES)
+        .repartition(parts, "core")
+        .sortWithinPartitions("core")
+        .mapInArrow(_sorted_buckets, "key binary, start bigint, end bigint")
+    )
+    result = saved(alike.unionByName(sorted_), "suffix-ranges", keep=False)
+    for step in steps:
+        drop(step)
+    return result
 
 
 def _batched(rows, kinds: tuple, names: list[str], size: int):
@@ -456,8 +542,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Texts move once to meet their contexts. Most are settled there; only those
     with a context that may repeat in part move again, with what the sort found.
     """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         row_key(F.col(doc_id), F.col(text)).alias("key"),
@@ -470,23 +554,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "suffix-state",
     )
     drop(contexts)
-    pending = state.where(F.col("text").isNotNull())
-    sent = pending.select("key", "contexts", "text").mapInArrow(
-        _sent(CONTEXTS), "key binary, gram bigint, first int, windows int, anchor int, again boolean, bytes binary"
-    )
-    buckets = sent.withColumn("bucket", F.xxhash64("gram")).repartition(parts, "bucket")
-    ranges = buckets.sortWithinPartitions("bucket", "gram").mapInArrow(_sorted_buckets, "key binary, start bigint, end bigint")
-    windows = saved(
-        pending.select("key", "contexts", "text").mapInArrow(
-            _windows(CONTEXTS), "digest binary, key binary, first int, own boolean"
-        ),
-        "suffix-windows", keep=False,
-    )
-    several = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("digest")
-    start = F.col("first").cast("long")
-    alike = windows.where("own").join(several, "digest").select("key", start.alias("start"), (start + LENGTH).alias("end"))
-    ranges = saved(ranges.unionByName(alike), "suffix-ranges", keep=False)
-    drop(windows)
+    ranges = repeated_ranges(state.where(F.col("text").isNotNull()).select("key", "contexts", "text"))
     by_text = saved(
         ranges.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("ranges")), "suffix-by-text"
     )
