@@ -89,7 +89,11 @@ def filled(column: pa.Array) -> pa.Array:
 
 
 def give_back() -> None:
-    """Return freed memory to the system: Python workers live on from one stage to the next."""
+    """Return freed memory to the system: Python workers live on from one stage to the next.
+
+    The tables of powers, as long as the longest text so far, go too and are made anew when needed.
+    """
+    _powers[:] = _NO_POWERS
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only glibc has it
         ctypes.CDLL(None).malloc_trim(0)
@@ -98,8 +102,10 @@ def give_back() -> None:
 def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows with about ``most`` bytes of text, one row at least.
 
-    At the end of the batches, memory that the task no longer uses is given back.
+    At the end of the batches, memory that the task no longer uses is given back; at their
+    beginning, what the worker's task before left.
     """
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -160,13 +166,14 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE)
 # --- hashing ---------------------------------------------------------------------
 
 _BASE = 0x9E3779B97F4A7C15
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_NO_POWERS = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+_powers = list(_NO_POWERS)
 
 
 def powers(n: int) -> list[np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, ``n`` at least."""
     if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
+        size = max(n + n // 8, 1 << 16)  # the next text may be a little longer
         for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
             table = np.full(size, base, np.uint64)
             table[0] = 1

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import byte_set, text_bytes
+from .common import byte_set, give_back, text_bytes
 
 #: Text bytes encoded at once.
 ENCODE_BYTES = 4_000_000
@@ -65,6 +65,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        give_back()  # the parsed file is several times the vocabulary's size
         self.end_id = end_id
         self.forget()
 
