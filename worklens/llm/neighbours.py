@@ -4,14 +4,20 @@ A tree gives every vector a string of ``BITS`` signs of random projections and
 keeps the strings in a sorted array. A query finds in every tree the vectors
 with the longest common prefix with its own string, and then ascends in all
 trees together: one bit less of prefix, more candidates, until it has enough.
-Candidates are ranked by their inner products in double precision.
+Only the candidates' inner products are computed, in double precision and each
+by itself, so equal vectors have equal scores.
 
-The forest is built shard by shard: a shard is a part of the rows where they lie, so
-no vector is moved or copied per tree. Queries are the stated set: every
-``EVERY``-th id. They are broadcast in blocks of at most ``BLOCK`` queries, each
-block meets all shards, and only the best of a shard are shuffled. The least
-number of candidates, as a share of a shard, is measured on a bounded sample of
-queries against brute force, so that ``RECALL`` is reached on that sample.
+The strings are made once and written with their vectors, dealt evenly to shards of at
+most ``SHARD`` rows, or fewer rows where that leaves tasks idle. A shard and a slice of at
+most ``SLICE`` queries meet in a cell, which is one task's work: it sorts the shard's strings
+into the trees, then reads the queries batch by batch. So no task holds more than a shard and a
+batch, nothing is collected or broadcast but the sample below, and a lost task is run again
+from the written strings. Shipping costs a query once per shard and a shard once per
+slice; only the best of a cell are shuffled on. Queries are the stated set: every ``EVERY``-th id.
+
+The least number of candidates, as a share of a shard, is measured on a bounded sample of
+queries against brute force, so that ``RECALL`` is reached on that sample. Vectors without near
+neighbours need a large share, in the extreme the trees' roots, which are all rows.
 
 Vectors take one more component, which lifts them all to the greatest norm, so
 that inner products order like angles. Vectors that are null, zero, of another
@@ -29,16 +35,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import saved
+
 EVERY = 20
 TOP = 20
 TREES = 48
 BITS = 24
-BLOCK = 50_000
+#: Rows of a shard, and queries that meet it in one task.
+SHARD = 200_000
+SLICE = 20_000
+#: Shards are made smaller than that to give every task some rows, but not smaller than this.
+LEAST = 4_000
 #: Recall aimed at on the sample, which is a little more than has to be reached.
 RECALL = 0.95
 SAMPLE = 100
-#: Score entries a task holds at once.
-CELLS = 4_000_000
 
 
 def valid(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -71,100 +81,143 @@ def _lifted(x: np.ndarray, norm: float) -> np.ndarray:
     return np.column_stack([x, rest])
 
 
-def _level(string: np.ndarray, queries: np.ndarray, enough: float, bits: int):
-    """Per tree the sorted array and its order, and per query the prefix length at
-    which the ascent has seen ``enough`` entries in all trees together."""
-    order = np.argsort(string, axis=0, kind="stable")
-    arrays = np.take_along_axis(string, order, axis=0)
+def forest(string: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per tree the rows in the order of their strings, and the sorted strings."""
+    order = np.argsort(string, axis=0, kind="stable").T
+    return order, np.take_along_axis(string.T, order, axis=1)
+
+
+def _run(array: np.ndarray, string: np.ndarray, length: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the entries with the first ``length`` bits of ``string`` begin and end in a sorted array."""
+    low = string >> (bits - length) << (bits - length)
+    return np.searchsorted(array, low), np.searchsorted(array, low + (1 << (bits - length)))
+
+
+def _level(arrays: np.ndarray, queries: np.ndarray, enough: float, bits: int) -> np.ndarray:
+    """Per query the prefix length at which the ascent has seen ``enough`` entries in all trees together."""
     level = np.zeros(len(queries), np.int64)
     open_ = np.arange(len(queries))
     for length in range(bits, 0, -1):
         total = np.zeros(len(open_))
-        for t in range(string.shape[1]):
-            low = queries[open_, t] >> (bits - length) << (bits - length)
-            total += np.searchsorted(arrays[:, t], low + (1 << (bits - length))) - np.searchsorted(arrays[:, t], low)
+        for t, array in enumerate(arrays):
+            low, high = _run(array, queries[open_, t], np.int64(length), bits)
+            total += high - low
         full = total >= enough
         level[open_[full]] = length
         open_ = open_[~full]
         if not len(open_):
             break
-    return order, arrays, level
+    return level
+
+
+def seen_by(
+    trees: tuple[np.ndarray, np.ndarray], queries: np.ndarray, enough: float, bits: int = BITS
+) -> Iterator[np.ndarray]:
+    """Per query a mask of the shard's rows that it sees: those with the level's prefix in any tree."""
+    order, arrays = trees
+    level = _level(arrays, queries, enough, bits)
+    runs = [_run(array, queries[:, t], level, bits) for t, array in enumerate(arrays)]
+    for q in range(len(queries)):
+        seen = np.full(order.shape[1], level[q] == 0)
+        if level[q]:
+            for rows, (low, high) in zip(order, runs):
+                seen[rows[low[q] : high[q]]] = True
+        yield seen
 
 
 def candidates(string: np.ndarray, queries: np.ndarray, enough: float, bits: int = BITS) -> np.ndarray:
-    """Which rows of the shard each query sees: the rows with the level's prefix in any tree."""
-    order, arrays, level = _level(string, queries, enough, bits)
-    seen = np.zeros((len(queries), len(string)), bool)
-    seen[level == 0] = True
-    for length in np.unique(level[level > 0]):
-        rows = np.flatnonzero(level == length)
-        for t in range(string.shape[1]):
-            prefix = queries[rows, t] >> (bits - length)
-            for p in np.unique(prefix):
-                low, high = np.searchsorted(arrays[:, t], [p << (bits - length), (p + 1) << (bits - length)])
-                if low < high:
-                    seen[np.ix_(rows[prefix == p], order[low:high, t])] = True
-    return seen
-
-
-def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.column("vec_id").to_numpy(), _matrix(batch.column("v"))
-
-
-def _best(score: np.ndarray, ids: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per query its best columns, equal scores by id, and whether they count."""
-    by_id = np.argsort(ids, kind="stable")
-    score = score[:, by_id]
-    if score.shape[1] > top:
-        # everything above the last place's score, then the least ids of those equal to it
-        cut = -np.partition(-score, top - 1, axis=1)[:, top - 1 : top]
-        above = score > cut
-        tie = score == cut
-        room = top - above.sum(axis=1, keepdims=True)
-        chosen = above | (tie & (np.cumsum(tie, axis=1) <= room))
-    else:
-        chosen = np.ones(score.shape, bool)
-    chosen &= score > -np.inf
-    rows, columns = np.nonzero(chosen)
-    return rows, by_id[columns]
-
-
-def calibrated(rows: DataFrame, queries: DataFrame, norm: float, top: int, trees: int, bits: int) -> float:
-    """Share of a shard's entries a query must see for ``RECALL`` on a sample of queries."""
-    chosen = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
-    ids, x = chosen["vec_id"].to_numpy(), _matrix(chosen["v"].combine_chunks()) if chosen.num_rows else None
-    if x is None:
+    """Which of the rows with these strings each query sees."""
+    seen = list(seen_by(forest(string), queries, enough, bits))
+    return np.array(seen).reshape(len(queries), len(string))
+
+
+def _best(score: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
+    """The places of the best scores, best first, equal ones by id."""
+    kept = np.arange(len(score))
+    if len(score) > top:
+        # everything down to the last place's score, ties included
+        kept = np.flatnonzero(score >= -np.partition(-score, top - 1)[top - 1])
+    return kept[np.lexsort((ids[kept], -score[kept]))][:top]
+
+
+def _scores(x: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Inner products, each added up in the same order whatever rows lie beside it."""
+    return (v * x).sum(axis=1)
+
+
+def _hashed(rows: DataFrame, lift: float | None, trees: int, bits: int) -> DataFrame:
+    """``rows`` and their strings, which are one column of 4-byte numbers; ``lift`` is the norm to lift to.
+
+    Queries keep their direction only: their lifted component is zero.
+    """
+
+    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                v = _matrix(batch.column("v"))
+                full = _lifted(v, lift) if lift is not None else np.column_stack([v, np.zeros(len(v))])
+                made = _strings(full, trees, bits).astype("<u4")
+                yield batch.append_column("strings", pa.array([row.tobytes() for row in made], pa.binary()))
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(hashed, f"{schema}, strings binary")
+
+
+def _unpacked(column: pa.Array, trees: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u4").astype(np.int64).reshape(-1, trees)
+
+
+def calibrated(index: DataFrame, queries: DataFrame, top: int, trees: int, bits: int) -> float:
+    """Share of a shard's entries a query must see for ``RECALL`` on a sample of queries.
+
+    A neighbour is seen unless the ascent ends above its common prefix with the query, so the
+    entries one bit further down must not be enough.
+    """
+    chosen = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow().combine_chunks()
+    if not chosen.num_rows:
         return 1.0
-    # Queries keep their direction only; the lifted component of a query is zero.
-    strings = _strings(np.column_stack([x, np.zeros(len(x))]), trees, bits)
+    ids, x = chosen["vec_id"].to_numpy(), _matrix(chosen["v"].combine_chunks())
+    strings = _unpacked(chosen["strings"], trees)
 
     def needed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for own, v in _shards(batches):
-            score = x @ v.T
-            score[ids[:, None] == own[None, :]] = -np.inf
-            q, c = _best(score, own, top)
-            string = _strings(_lifted(v, norm), trees, bits)
-            order = np.argsort(string, axis=0, kind="stable")
-            arrays = np.take_along_axis(string, order, axis=0)
-            differ = strings[q] ^ string[c]
-            common = np.where(differ > 0, bits - 1 - np.floor(np.log2(np.maximum(differ, 1))), bits).max(axis=1).astype(np.int64)
-            size = np.zeros(len(q))
-            for t in range(trees):
-                low = strings[q, t] >> (bits - common) << (bits - common)
-                size += np.searchsorted(arrays[:, t], low + (1 << (bits - common))) - np.searchsorted(arrays[:, t], low)
-            yield pa.record_batch(
-                [pa.array(q), pa.array(score[q, c]), pa.array(own[c]), pa.array(size / len(own))],
-                names=["q", "score", "vec_id", "share"],
-            )
-
-    found = rows.mapInArrow(needed, "q bigint, score double, vec_id bigint, share double")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own, v, string = batch.column("vec_id").to_numpy(), _matrix(batch.column("v")), _unpacked(batch.column("strings"), trees)
+            arrays = forest(string)[1]
+            for q in range(len(ids)):
+                others = np.flatnonzero(own != ids[q])
+                score = _scores(x[q], v[others])
+                best = _best(score, own[others], top)
+                c = others[best]
+                differ = strings[q] ^ string[c]
+                common = np.where(differ > 0, bits - 1 - np.floor(np.log2(np.maximum(differ, 1))), bits).max(axis=1)
+                below = np.minimum(common.astype(np.int64) + 1, bits)
+                size = np.zeros(len(c))
+                for t, array in enumerate(arrays):
+                    low, high = _run(array, np.repeat(strings[q, t], len(c)), below, bits)
+                    size += high - low
+                size[common == bits] = 0
+                yield pa.record_batch(
+                    [pa.array(np.full(len(c), q)), pa.array(score[best]), pa.array(own[c]), pa.array(size / len(own))],
+                    names=["q", "score", "vec_id", "share"],
+                )
+
+    found = index.mapInArrow(needed, "q bigint, score double, vec_id bigint, share double")
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id"))
     share = found.withColumn("rank", rank).where(F.col("rank") <= top).select("share").toArrow()["share"].to_numpy()
     return float(np.quantile(share, RECALL)) * 1.1 if len(share) else 1.0
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
+    """A batch cut where the cell changes, or its rows end and its queries begin."""
+    cell = batch.column("cell").to_numpy()
+    query = batch.column("query").to_numpy(zero_copy_only=False)
+    edges = np.flatnonzero((cell[1:] != cell[:-1]) | (query[1:] != query[:-1])) + 1
+    for a, b in zip([0, *edges], [*edges, len(cell)]):
+        yield int(cell[a]), bool(query[a]), batch.slice(a, b - a)
+
+
 def search(
     vectors: DataFrame,
     vec_id: str = "vec_id",
@@ -173,48 +226,63 @@ def search(
     top: int = TOP,
     trees: int = TREES,
     bits: int = BITS,
+    shard: int = SHARD,
+    slice_: int = SLICE,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of each query's ``top`` nearest found."""
     spark = vectors.sparkSession
     rows = valid(vectors, vec_id, embedding)
-    queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-    greatest = rows.select(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
-    norm = float(np.sqrt(greatest or 0.0))
-    share = calibrated(rows, queries, norm, top, trees, bits)
-    found = spark.createDataFrame([], "query_id bigint, vec_id bigint, score double")
-    for block in _blocks(queries, BLOCK):
-        ref = spark.sparkContext.broadcast(block)
-
-        def probe(batches: Iterable[pa.RecordBatch], ref=ref) -> Iterator[pa.RecordBatch]:
-            ids, x = ref.value
-            strings = _strings(np.column_stack([x, np.zeros(len(x))]), trees, bits)
-            for own, v in _shards(batches):
-                string = _strings(_lifted(v, norm), trees, bits)
-                step = max(1, CELLS // len(own))
-                for a in range(0, len(ids), step):
-                    some = slice(a, a + step)
-                    score = x[some] @ v.T
-                    score[~candidates(string, strings[some], share * len(own), bits)] = -np.inf
-                    score[ids[some, None] == own[None, :]] = -np.inf
-                    q, c = _best(score, own, top)
-                    yield pa.record_batch(
-                        [pa.array(ids[some][q]), pa.array(own[c]), pa.array((x[some][q] * v[c]).sum(axis=1))],
-                        names=["query_id", "vec_id", "score"],
-                    )
-
-        found = found.unionByName(rows.mapInArrow(probe, "query_id bigint, vec_id bigint, score double"))
+    asked = F.pmod("vec_id", F.lit(every)) == 0
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    size = rows.select(F.max(square).alias("square"), F.count(F.lit(1)).alias("n"), F.count_if(asked).alias("asked")).first()
+    if not size["n"]:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(-(-size["n"] // shard), min(tasks, -(-size["n"] // LEAST)))
+    slices = max(1, -(-size["asked"] // slice_))
+    dealt = rows.repartition(shards).withColumn("shard", F.spark_partition_id())
+    index = saved(_hashed(dealt, float(np.sqrt(size["square"])), trees, bits), "forest")
+    least = rows.where(asked).groupBy("vec_id").agg(F.min("v").alias("v"))
+    queries = saved(_hashed(least, None, trees, bits), "queries")
+    share = calibrated(index, queries, top, trees, bits)
+
+    def in_cells(df: DataFrame, query: bool, shard_: str, slice_: str) -> DataFrame:
+        cell = F.expr(f"{shard_} * {slices} + {slice_}").cast("int")
+        return df.select(cell.alias("cell"), F.lit(query).alias("query"), "vec_id", "v", "strings")
+
+    every_slice = index.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    of_slice = F.pmod(F.xxhash64("vec_id"), F.lit(slices))
+    every_shard = queries.withColumn("slice", of_slice).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    cells = in_cells(every_slice, False, "shard", "slice").unionByName(in_cells(every_shard, True, "shard", "slice"))
+    cells = cells.repartitionById(shards * slices, F.col("cell")).sortWithinPartitions("cell", "query")
+
+    def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts, built = None, [], None
+        for batch in batches:
+            for cell, query, some in _runs(batch) if batch.num_rows else ():
+                if cell != at:
+                    at, parts, built = cell, [], None
+                if not query:
+                    parts.append(some)
+                    continue
+                if parts:  # the shard is whole
+                    own = np.concatenate([p.column("vec_id").to_numpy() for p in parts])
+                    v = np.concatenate([_matrix(p.column("v")) for p in parts])
+                    built = forest(np.concatenate([_unpacked(p.column("strings"), trees) for p in parts]))
+                    parts = []
+                if built is None:
+                    continue
+                ids, x = some.column("vec_id").to_numpy(), _matrix(some.column("v"))
+                found = [[], [], []]
+                for q, seen in enumerate(seen_by(built, _unpacked(some.column("strings"), trees), share * len(own), bits)):
+                    c = np.flatnonzero(seen)
+                    c = c[own[c] != ids[q]]
+                    score = _scores(x[q], v[c])
+                    best = _best(score, own[c], top)
+                    for column, values in zip(found, (np.full(len(best), ids[q]), own[c[best]], score[best])):
+                        column.append(values)
+                yield pa.record_batch([pa.array(np.concatenate(column)) for column in found], names=["query_id", "vec_id", "score"])
+
+    found = cells.mapInArrow(probe, "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
-
-
-def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Queries in blocks of bounded size, a partition at a time on the driver."""
-    ids, vectors = [], []
-    for row in queries.toLocalIterator(prefetchPartitions=True):
-        ids.append(row["vec_id"])
-        vectors.append(np.array(row["v"], np.float64))
-        if len(ids) == size:
-            yield np.array(ids, np.int64), np.array(vectors)
-            ids, vectors = [], []
-    if ids:
-        yield np.array(ids, np.int64), np.array(vectors)
