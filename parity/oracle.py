@@ -214,6 +214,16 @@ ORACLE: dict[str, str] = {
     "scope_independent": f"""
         {SCOPED} l_suppkey IN ({_values(0)}) AND l_linenumber IN ({_values(1)})
     """,
+    "scope_table": f"""
+        {SCOPED} (l_suppkey, l_linenumber) IN (
+            SELECT (s_suppkey, s_nationkey % 7 + 1) FROM supplier WHERE s_acctbal > 0)
+    """,
+    "scope_table_independent": f"""
+        {SCOPED} l_suppkey IN (
+            SELECT s_suppkey FROM supplier WHERE s_acctbal > 0 AND s_nationkey % 7 + 1 > 3)
+        AND l_linenumber IN (
+            SELECT s_nationkey % 7 + 1 FROM supplier WHERE s_acctbal > 0 AND s_nationkey % 7 + 1 > 3)
+    """,
     "min_partition": """
         SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS VARCHAR) AS year
         FROM orders WHERE CAST(year(o_orderdate) AS VARCHAR) >= '1998'

@@ -29,6 +29,24 @@ def scope_independent(spark, sf_dir):
     return kept.select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
 
 
+def _supplier_tenants(spark, sf_dir):
+    suppliers = S.table(spark, sf_dir, "supplier").where("s_acctbal > 0")
+    return suppliers.selectExpr("s_suppkey", "CAST(s_nationkey % 7 + 1 AS BIGINT) AS line")
+
+
+def scope_table(spark, sf_dir):
+    lines = S.table(spark, sf_dir, "lineitem")
+    kept = O.scope(lines, _supplier_tenants(spark, sf_dir), "pair", ["l_suppkey", "l_linenumber"])
+    return kept.select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
+
+
+def scope_table_independent(spark, sf_dir):
+    lines = S.table(spark, sf_dir, "lineitem")
+    tenants = _supplier_tenants(spark, sf_dir).where("line > 3")
+    kept = O.scope(lines, tenants, "independent", ["l_suppkey", "l_linenumber"])
+    return kept.select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
+
+
 def min_partition(spark, sf_dir):
     orders = S.table(spark, sf_dir, "orders")
     dated = orders.withColumn("year", F.year("o_orderdate").cast("string"))
@@ -303,6 +321,8 @@ QUERIES: dict[str, Query] = {
     for query in (
         scope_pairs,
         scope_independent,
+        scope_table,
+        scope_table_independent,
         min_partition,
         classification_extract,
         json_key_list,

@@ -14,7 +14,7 @@ from ..sources import from_year
 
 def classification_extract(
     classifications: DataFrame,
-    pairs: Sequence[tuple],
+    pairs: Sequence[tuple] | DataFrame,
     offset_s: int | None = None,
     min_year: str | None = None,
 ) -> DataFrame:

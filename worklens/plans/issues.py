@@ -17,7 +17,7 @@ GROUP = ["updatedat_date", "organization_id", "project_id", "labeltaskid"]
 
 def issue_daily(
     issues: DataFrame,
-    pairs: Sequence[tuple],
+    pairs: Sequence[tuple] | DataFrame,
     min_year: str | None = MIN_YEAR,
     tags: Mapping[str, str] = ISSUE_TAGS,
     offset_s: int | None = None,

@@ -22,7 +22,7 @@ DOCUMENT = ["organization_id", "project_id", "labeltaskid", "document_id"]
 
 
 def object_cells(
-    stats: DataFrame, pairs: Sequence[tuple], min_year: str | None = None
+    stats: DataFrame, pairs: Sequence[tuple] | DataFrame, min_year: str | None = None
 ) -> DataFrame:
     """Time and object count per document, object type and class.
 
@@ -55,7 +55,7 @@ def object_cells(
 
 def time_per_object(
     stats: DataFrame,
-    pairs: Sequence[tuple],
+    pairs: Sequence[tuple] | DataFrame,
     classes: Sequence[str] = OBJECT_CLASSES,
     object_types: Sequence[str] = OBJECT_TYPES,
     min_year: str | None = None,

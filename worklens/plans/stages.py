@@ -46,7 +46,7 @@ COLUMNS = [
 
 def stage_history(
     logs: DataFrame,
-    pairs: Sequence[tuple],
+    pairs: Sequence[tuple] | DataFrame,
     min_year: str | None = MIN_YEAR,
     labels: Mapping[str, Sequence[str]] = STAGE_LABELS,
     offset_s: int | None = None,

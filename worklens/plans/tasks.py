@@ -14,7 +14,7 @@ from ..sources import RENAMES, from_year, rename_source
 
 def task_rollup(
     tasks: DataFrame,
-    pairs: Sequence[tuple],
+    pairs: Sequence[tuple] | DataFrame,
     offset_ms: int | None = None,
     min_year: str | None = None,
 ) -> DataFrame:
